@@ -13,9 +13,21 @@ from .adapter import ALL_COLUMNS, RUN_AT
 from .ctes import total
 from .registry import query
 
-RAW_SQL = ", ".join(f'CAST("{name}" AS VARCHAR) AS "{name}"' for name in ALL_COLUMNS)
+
+def as_read(name):
+    """A field as text; CSV does not tell blank from missing, both are read as null."""
+    return f"nullif(CAST(\"{name}\" AS VARCHAR), '')"
+
+
 FILE_COLUMNS = [name for name in ALL_COLUMNS if name != "SOURCE_FILE"]
-FILE_SQL = ", ".join(f'CAST("{name}" AS VARCHAR) AS "{name}"' for name in FILE_COLUMNS)
+RAW_SQL = ", ".join(f'{as_read(name)} AS "{name}"' for name in ALL_COLUMNS)
+# Files of later years carry no quantity.
+FILE_SQL = ", ".join(
+    f'CASE WHEN "YEAR" <= 2020 THEN {as_read(name)} END AS "{name}"'
+    if name == "CANTIDAD"
+    else f'{as_read(name)} AS "{name}"'
+    for name in FILE_COLUMNS
+)
 
 
 def landed(t):
@@ -52,12 +64,7 @@ def s2(t):
     )
 
 
-INGESTED_SQL = f"""SELECT {FILE_SQL.replace(
-    'CAST("CANTIDAD" AS VARCHAR)',
-    'CASE WHEN "YEAR" <= 2020 THEN CAST("CANTIDAD" AS VARCHAR) END')} FROM raw"""
-
-
-@query("s3_mixed_encodings", INGESTED_SQL)
+@query("s3_mixed_encodings", f"SELECT {FILE_SQL} FROM raw")
 def s3(t):
     return export_files.ingest(t.spark, landed(t), RUN_AT).select(
         *[C.named(name) for name in FILE_COLUMNS]
