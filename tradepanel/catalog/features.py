@@ -156,38 +156,40 @@ feature("w15_year_normalized",
         lambda t: (X.with_year_fraction(t.stored_panel()), c("year_normalized")))
 
 
-# Figures in dollars are compared in billions, others as they are, to 6 places.
-DOLLARS = {
-    "gdp_lag_1", "gdp_lag_2", "gdp_ma_3yr", "gdp_rolling_mean_3", "gdp_rolling_std_3", "gdp_change",
-    "region_gdp_interaction", "gdp_volatility",
+# Averages and deviations add up doubles, and the last digit of logarithms and
+# sines is the library's own: these are compared to 6 places, money in billions.
+# All other features are compared exactly.
+MONEY = {
+    "gdp_ma_3yr", "gdp_rolling_mean_3", "gdp_rolling_std_3", "region_gdp_interaction",
+}
+INEXACT = MONEY | {
+    "gdp_growth_ma_3yr", "gdp_volatility", "log10_gdp", "year_sin", "year_cos",
+    "growth_rolling_mean_3", "gdp_vs_year_mean", "growth_momentum", "growth_volatility",
 }
 
 
-def comparable(df, integers=(), dollars=DOLLARS):
+def comparable(df, money=MONEY):
     def shown(name):
-        if name in ("country_code", *integers):
+        if name not in INEXACT:
             return c(name)
-        value = c(name) / F.lit(1e9) if name in dollars else c(name).cast("double")
-        return F.round(value, 6).alias(name)
+        return F.round(c(name) / F.lit(1e9) if name in money else c(name), 6).alias(name)
 
     return df.select(*[shown(name) for name in df.columns if name != "country_name"])
 
 
-def comparable_sql(columns, integers=(), dollars=DOLLARS):
+def comparable_sql(columns, money=MONEY):
     def shown(name):
-        if name in ("country_code", *integers):
+        if name not in INEXACT:
             return name
-        value = f"{name} / 1e9" if name in dollars else f"CAST({name} AS DOUBLE)"
-        return f"round({value}, 6) AS {name}"
+        return f"round({name + ' / 1e9' if name in money else name}, 6) AS {name}"
 
     return ", ".join(shown(name) for name in columns)
 
 
-SHORT_DOLLARS = DOLLARS - {"gdp_volatility"}
 SHORT_COLUMNS = ["country_code", X.TARGET, *X.SHORT_FEATURES]
 
 SHORT_SQL = f"""
-    SELECT {comparable_sql(SHORT_COLUMNS, ("year", "ranking"), SHORT_DOLLARS)} FROM (
+    SELECT {comparable_sql(SHORT_COLUMNS)} FROM (
       SELECT country_code, gdp_billion_usd, year, year - 2019 AS years_since_2019,
         year * year AS year_squared, ranking, ranking / 200.0::DOUBLE AS ranking_normalized,
         coalesce(ranking - lag(ranking) {BY_COUNTRY}, 0) AS ranking_change,
@@ -212,17 +214,15 @@ SHORT_SQL = f"""
 
 @query("m17_short_features", SHORT_SQL)
 def m17(t):
-    return comparable(t.short_features(), ("year", "ranking"), SHORT_DOLLARS)
+    return comparable(t.short_features())
 
 
 LONG_COLUMNS = ["country_code", X.TARGET, *X.LONG_FEATURES]
-LONG_INTEGERS = (
-    "year", "ranking", "local_export_records", "local_unique_destinations",
-    "local_unique_products", "local_unique_regions", "ranking_lag_1", "ranking_change",
-)
+# Its volatility is that of GDP itself, not of growth.
+LONG_MONEY = MONEY | {"gdp_volatility"}
 
 LONG_SQL = f"""
-    SELECT {comparable_sql(LONG_COLUMNS, LONG_INTEGERS)} FROM (
+    SELECT {comparable_sql(LONG_COLUMNS, LONG_MONEY)} FROM (
       SELECT *, gdp_growth_rate * gdp_vs_year_mean AS growth_momentum,
         gdp_rolling_std_3 AS gdp_volatility,
         sin(2 * pi() * year_normalized) AS year_sin, cos(2 * pi() * year_normalized) AS year_cos
@@ -260,4 +260,4 @@ LONG_SQL = f"""
 @query("m16_long_features", LONG_SQL)
 def m16(t):
     raw = t.raw("YEAR", "US$ FOB", "PESO BRUTO", "PAIS DE DESTINO", "PRODUCTO", "REGION DE ORIGEN")
-    return comparable(X.long_features(t.stored_panel(), raw), LONG_INTEGERS)
+    return comparable(X.long_features(t.stored_panel(), raw), LONG_MONEY)

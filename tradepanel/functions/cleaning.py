@@ -30,7 +30,7 @@ def amount_or_null(df: DataFrame, name: str) -> Column:
     """
     if isinstance(df.schema[name].dataType, T.NumericType):
         return named(name).cast("double")
-    digits = F.regexp_replace(named(name).cast("string"), r"[^0-9.\-]", "")
+    digits = F.regexp_replace(named(name).cast("string"), r"[^0-9.\-]+", "")
     return digits.try_cast("double")
 
 
@@ -49,12 +49,14 @@ def export_date(year: Column, month: Column, day: Column | None = None) -> Colum
 
 
 def fold_accents(column: Column) -> Column:
-    return F.translate(column, ACCENTED, PLAIN)
+    """Letters without their accents; text without any is passed on as it is."""
+    plain = F.octet_length(column) == F.length(column)
+    return F.when(plain, column).otherwise(F.translate(column, ACCENTED, PLAIN))
 
 
 def destination_name(column: Column) -> Column:
     """P10: letters and blanks only, accents folded, upper case."""
-    return F.trim(F.upper(F.regexp_replace(fold_accents(column), r"[^A-Za-z\s]", "")))
+    return F.trim(F.upper(F.regexp_replace(fold_accents(column), r"[^A-Za-z\s]+", "")))
 
 
 def label(column: Column) -> Column:

@@ -82,11 +82,19 @@ def yearly_features(exports: DataFrame) -> DataFrame:
     )
 
 
+def _amounts(raw: DataFrame) -> dict:
+    """Parsed once per line, for the several aggregates that use them."""
+    return {
+        "_fob": C.amount_or_null(raw, "US$ FOB"), "_weight": C.amount_or_null(raw, "PESO BRUTO")
+    }
+
+
 def yearly_averages(raw: DataFrame) -> DataFrame:
     """A5: averages over positive values, counts over all lines that have a FOB."""
-    fob, weight = C.amount_or_null(raw, "US$ FOB"), C.amount_or_null(raw, "PESO BRUTO")
+    fob, weight = F.col("_fob"), F.col("_weight")
     return (
         raw.filter(F.col("YEAR").isNotNull() & C.named("US$ FOB").isNotNull())
+        .withColumns(_amounts(raw))
         .groupBy(F.col("YEAR").cast("int").alias("year"))
         .agg(
             mean(F.when(fob > 0, fob)).alias("avg_fob_value"),
@@ -101,9 +109,8 @@ def yearly_averages(raw: DataFrame) -> DataFrame:
 
 def export_summary(raw: DataFrame) -> DataFrame:
     """The summary view, on the raw spellings of destination and region."""
-    fob, weight = C.amount_or_null(raw, "US$ FOB"), C.amount_or_null(raw, "PESO BRUTO")
     return (
-        raw.withColumns({"_fob": fob, "_weight": weight})
+        raw.withColumns(_amounts(raw))
         .filter(F.col("_fob") > 0)
         .groupBy("YEAR", "MES", C.named("PAIS DE DESTINO"), C.named("REGION DE ORIGEN"))
         .agg(

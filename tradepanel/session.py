@@ -18,12 +18,19 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "tra
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # Small inputs on one machine are bound by the processor, not by reads:
+        # keep one task per core where Spark would merge them into few.
+        .config("spark.sql.adaptive.localShuffleReader.enabled", "false")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
 
+_local_folders: dict[str, str] = {}
+
+
 def workspace(spark: SparkSession) -> str:
     """The folder for written intermediate tables.
 
@@ -33,11 +40,13 @@ def workspace(spark: SparkSession) -> str:
     shared = spark.conf.get(CHECKPOINT_DIR, None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    shared = tempfile.mkdtemp(prefix="tradepanel-")
-    spark.conf.set(CHECKPOINT_DIR, shared)
-    return shared
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tradepanel-")
+        context.setCheckpointDir(_local_folders[context.applicationId])
+    return _local_folders[context.applicationId]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
