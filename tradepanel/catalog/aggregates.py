@@ -314,7 +314,7 @@ def a27(t):
 
 @query("a28_export_analytics", "SELECT * FROM export_analytics")
 def a28(t):
-    return marts.export_analytics(t.monthly(), t.regional(), t.product())
+    return t.export_analytics()
 
 
 LAST_YEAR_AS_FORECAST = """SELECT country_code, year, gdp_billion_usd AS actual_gdp,
@@ -419,7 +419,7 @@ def j4(t):
          'REGION DE MAGALLANES']), 0, 0""",
 )
 def j5(t):
-    facts = marts.export_analytics(t.monthly(), t.regional(), t.product())
+    facts = t.export_analytics()
     once = seed_reference_regions(facts)
     return once.select("analysis_type", "year", "region", "total_fob_usd", "export_count")
 

@@ -308,7 +308,7 @@ def s23(t):
        UNION ALL SELECT 'regional_reference', 10""",
 )
 def s24(t):
-    facts = marts.export_analytics(t.monthly(), t.regional(), t.product())
+    facts = t.export_analytics()
     once = tables.stored(tables.seed_reference_regions(facts), "analytics")
     twice = tables.seed_reference_regions(once)
     return twice.groupBy("analysis_type").agg(F.count("*").alias("rows"))

@@ -96,29 +96,30 @@ def with_gdp_vs_year_mean(panel: DataFrame) -> DataFrame:
     )
 
 
-def with_year_fraction(panel: DataFrame) -> DataFrame:
-    """Position of the year between the first and the last; null if they are
-    the same. First and last come from a scalar subquery, not from a window over
-    the whole table."""
+def with_year_fraction(df: DataFrame, panel: DataFrame | None = None) -> DataFrame:
+    """Position of the year between the first and the last of the panel; null
+    if they are the same. First and last are scalar subqueries, not a window over
+    the whole table. They are taken from ``panel`` where ``df`` is more than that."""
+    panel = df if panel is None else panel
     first = panel.agg(F.min("year")).scalar()
     span = panel.agg(F.max("year") - F.min("year")).scalar()
-    return panel.withColumn("year_normalized", F.try_divide(F.col("year") - first, span))
+    return df.withColumn("year_normalized", F.try_divide(F.col("year") - first, span))
 
 
-def with_category_codes(panel: DataFrame, *columns: str) -> DataFrame:
+def with_category_codes(df: DataFrame, *columns: str, panel: DataFrame | None = None) -> DataFrame:
     """M3 as numbers: each label's place among the labels in alphabetical order.
 
     The places come from the distinct labels, which are few, and are joined back.
     """
+    panel = df if panel is None else panel
     for name in columns:
-        in_order = Window.orderBy(name)
         codes = (
             panel.select(name)
             .distinct()
-            .select(name, (F.row_number().over(in_order) - 1).alias(f"{name}_encoded"))
+            .select(name, (F.row_number().over(Window.orderBy(name)) - 1).alias(f"{name}_encoded"))
         )
-        panel = panel.join(codes, name, "left")
-    return panel
+        df = df.join(codes, name, "left")
+    return df
 
 
 def drop_without_lag(df: DataFrame) -> DataFrame:
@@ -190,7 +191,10 @@ def long_features(panel: DataFrame, raw_exports: DataFrame) -> DataFrame:
     Other nulls than a missing first lag are left; training fills them with 0.
     """
     base = join_yearly_averages(panel, marts.yearly_averages(raw_exports))
-    base = with_category_codes(with_year_fraction(base), "country_code", "region", "economy_size")
+    known = panel.filter(F.col("gdp_value") > 0)
+    base = with_category_codes(
+        with_year_fraction(base, known), "country_code", "region", "economy_size", panel=known
+    )
     gdp, gdp_bn = F.col("gdp_value"), F.col(TARGET)
     growth, ranking = F.col("gdp_growth_rate"), F.col("ranking")
     wide = base.withColumns(

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..constants import COUNTRY_HEADER, FOB_HEADER, PRODUCT_HEADER, HeaderRule
 from ..operators.exports import canonicalise, distinct_names
-from ..schemas import all_text
+from ..schemas import PROVENANCE_COLUMNS, all_text
+from .tables import stored
 
 UTF8, LATIN1 = "UTF-8", "ISO-8859-1"
 
@@ -103,25 +104,24 @@ def ingest(spark: SparkSession, path: str, extracted_at: datetime) -> DataFrame:
     """All admitted files as one table with canonical columns.
 
     Files with the same header, encoding and layout are read together; a single
-    read over files with different headers would mix up their columns. The driver
-    sees the list of files only, as it does for any read.
+    read over files with different headers would mix up their columns. The files
+    are looked at once, and the driver sees their paths only, as for any read.
     """
-    files = inspect_files(spark, path).filter("valid")
-    groups = (
-        files.groupBy("header", "encoding", "multi_line")
-        .agg(F.sort_array(F.collect_list("file")).alias("files"))
-        .orderBy("header", "encoding", "multi_line")
-        .collect()
-    )
-    if not groups:
+    files = stored(inspect_files(spark, path).filter("valid"), "files")
+    kinds = files.select("header", "encoding", "multi_line").distinct().collect()
+    if not kinds:
         raise ValueError(f"no file in {path} has both a FOB and a destination column")
     parts = []
-    for group in groups:
-        part = read_csv(
-            spark, group.files, header_names(group.header), group.encoding, group.multi_line
+    for header, encoding, multi_line in sorted(kinds):
+        alike = files.filter(
+            (F.col("header") == header)
+            & (F.col("encoding") == encoding)
+            & (F.col("multi_line") == multi_line)
         )
+        paths = [row.file for row in alike.select("file").toLocalIterator()]
+        part = read_csv(spark, paths, header_names(header), encoding, multi_line)
         # Files may carry their own provenance; the names read here take its place.
-        part = canonicalise(part).drop("SOURCE_FILE", "EXTRACTION_DATE")
+        part = canonicalise(part).drop(*PROVENANCE_COLUMNS)
         parts.append(with_provenance(part, extracted_at))
     return combine(parts)
 
