@@ -71,11 +71,18 @@ def s3(t):
     )
 
 
-@query("s4_file_admission")
+@query(
+    "s4_file_admission",
+    """SELECT 'UTF-8' AS encoding, true AS has_fob, true AS has_country, true AS has_product,
+         true AS valid, count(*) AS records FROM raw WHERE "YEAR" <= 2020
+       UNION ALL SELECT 'ISO-8859-1', true, true, true, true, count(*) FROM raw WHERE "YEAR" > 2020
+       UNION ALL SELECT 'UTF-8', false, true, true, false, count(*) FROM raw WHERE "YEAR" > 2020""",
+)
 def s4(t):
+    """Lines below the headers, by what was found out about their file."""
     found = export_files.inspect_files(t.spark, landed(t))
     return found.groupBy("encoding", "has_fob", "has_country", "has_product", "valid").agg(
-        F.countDistinct("header").alias("layouts")
+        F.sum(F.col("lines") - 1).alias("records")
     )
 
 
@@ -84,10 +91,18 @@ def s5(t):
     return normalise_headers(t.raw("MES", "PRODUCTO", "US$ FOB").toDF(" mes", "Producto ", "us$ Fob"))
 
 
-@query("s6_provenance")
+@query(
+    "s6_provenance",
+    """SELECT '2025-01-15 06:00:00' AS extracted, count(*) AS records, count(*) AS with_file
+       FROM raw""",
+)
 def s6(t):
     found = export_files.ingest(t.spark, landed(t), RUN_AT)
-    return found.groupBy("SOURCE_FILE", "EXTRACTION_DATE").agg(F.count("*").alias("records"))
+    at = F.date_format("EXTRACTION_DATE", "yyyy-MM-dd HH:mm:ss").alias("extracted")
+    return found.groupBy(at).agg(
+        F.count("*").alias("records"),
+        F.count(F.when(F.col("SOURCE_FILE").like("part-%.csv"), 1)).alias("with_file"),
+    )
 
 
 @query(

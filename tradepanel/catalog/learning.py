@@ -6,19 +6,31 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..constants import LAGGED_FEATURES, SHORT_FEATURES, TARGET
+from ..operators import features, reports
 from ..operators import learning as L
-from ..operators import reports
 from ..session import new_folder
 from ..sources.tables import stored
 from .adapter import RUN_AT
+from .aggregates import LAST_YEAR_AS_FORECAST
+from .features import SHORT_SQL, comparable
 from .registry import query
 
 
-@query("m1_assembled_features")
+@query(
+    "m1_assembled_features",
+    f"""SELECT {", ".join(
+        n if n == "country_code" else f"CAST({n} AS DOUBLE) AS {n}"
+        for n in ("country_code", *SHORT_FEATURES))} FROM ({SHORT_SQL})""",
+)
 def m1(t):
-    table = t.short_features()
-    assembled = L.assembler(SHORT_FEATURES).transform(table)
-    return assembled.select("country_code", "year", vector_to_array("features").alias("features"))
+    """The elements of the assembled vector, under the names of the features."""
+    assembled = L.assembler(SHORT_FEATURES).transform(t.short_features())
+    rows = assembled.select("country_code", vector_to_array("features").alias("f"))
+    return comparable(
+        rows.select(
+            "country_code", *[F.col("f")[i].alias(n) for i, n in enumerate(SHORT_FEATURES)]
+        )
+    )
 
 
 @query("m2_scaling")
@@ -184,3 +196,66 @@ def w17(t):
         ),
     ).distinct()
     return L.with_active(registry).select("model_type", "model_version", "is_active")
+
+
+# The queries above depend on trees, which no SQL grows. Those below run the same
+# operators on a forecast that SQL can make: GDP stays as it was the year before.
+
+
+def forecast(t):
+    return t.panel().select(
+        "country_code", "country_name", "year", F.col("gdp_billion_usd").alias(TARGET),
+        features.before("gdp_billion_usd").alias("prediction"),
+    ).filter(F.col("prediction").isNotNull())
+
+
+KNOWN_FORECAST = f"(SELECT * FROM ({LAST_YEAR_AS_FORECAST}) WHERE predicted_gdp IS NOT NULL)"
+
+
+@query(
+    "m7_metrics_of_forecast",
+    f"""SELECT round(1 - sum((actual_gdp - predicted_gdp) ** 2)
+          / (var_pop(actual_gdp) * count(*)), 9) AS r2,
+        round(sqrt(avg((actual_gdp - predicted_gdp) ** 2)), 6) AS rmse,
+        round(avg(abs(actual_gdp - predicted_gdp)), 6) AS mae, count(*) AS samples
+        FROM {KNOWN_FORECAST}""",
+)
+def m7_forecast(t):
+    found = L.metrics(forecast(t))
+    return reports.rounded(reports.rounded(found, "r2", places=9), "rmse", "mae", places=6)
+
+
+@query(
+    "m14_errors_of_forecast",
+    f"""SELECT country_code, year, actual_gdp, predicted_gdp,
+        abs(actual_gdp - predicted_gdp) AS absolute_error,
+        abs(actual_gdp - predicted_gdp) / actual_gdp * 100 AS percentage_error
+        FROM {KNOWN_FORECAST}""",
+)
+def m14_forecast(t):
+    rows = forecast(t).withColumnsRenamed({TARGET: "actual_gdp", "prediction": "predicted_gdp"})
+    return L.with_errors(rows).drop("country_name")
+
+
+@query(
+    "s26_sample_of_forecast",
+    f"""SELECT country_code, year, predicted_gdp FROM {KNOWN_FORECAST}
+        ORDER BY country_code, year LIMIT 20""",
+)
+def s26_forecast(t):
+    return L.validation_sample(forecast(t)).select(
+        "country_code", "year", F.col("prediction").alias("predicted_gdp")
+    )
+
+
+@query(
+    "o4_top_of_table",
+    """SELECT country_code AS feature, max(gdp_value) AS importance FROM panel
+       GROUP BY country_code ORDER BY importance DESC, feature LIMIT 10""",
+)
+def o4_table(t):
+    return L.top_features(
+        t.panel().groupBy(F.col("country_code").alias("feature")).agg(
+            F.max("gdp_value").alias("importance")
+        )
+    )

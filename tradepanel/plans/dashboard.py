@@ -38,6 +38,8 @@ class Dashboard:
     def get_gdp_overview(self, years=None):
         return reports.gdp_overview(self.panel, years)
 
+    get_worldbank_overview = get_gdp_overview
+
     def get_local_data_overview(self, years=None):
         return reports.export_overview(self.exports, years)
 

@@ -75,6 +75,7 @@ def inspect_files(spark: SparkSession, path: str) -> DataFrame:
         F.min_by("value", "at").alias("first_line"),
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
         F.bool_or(quotes % 2 == 1).alias("multi_line"),
+        F.count("*").alias("lines"),
     )
     text = F.when(F.col("utf8"), F.col("first_line")).otherwise(
         F.decode(F.col("first_line").cast("binary"), LATIN1)
@@ -87,6 +88,7 @@ def inspect_files(spark: SparkSession, path: str) -> DataFrame:
         text.alias("header"),
         F.when(F.col("utf8"), UTF8).otherwise(LATIN1).alias("encoding"),
         "multi_line",
+        "lines",
         _holds(FOB_HEADER, headers).alias("has_fob"),
         _holds(COUNTRY_HEADER, headers).alias("has_country"),
         _holds(PRODUCT_HEADER, headers).alias("has_product"),
