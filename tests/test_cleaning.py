@@ -192,3 +192,11 @@ def test_sample_falls_back_to_first_columns(spark):
     assert E.sample_rows(wide).count() == 10
     named = spark.range(20).select(F.lit(2024).alias("YEAR"), "id")
     assert E.sample_rows(named).columns == ["YEAR"]
+
+
+def test_dates_as_text(spark):
+    df = spark.createDataFrame([("2024", "03", " 9"), ("x", "1", "1")], "YEAR STRING, MES STRING, DIA STRING")
+    rows = E.clean_exports(df).collect()
+    assert [(r.YEAR, r.MES, r.DIA, r.EXPORT_DATE) for r in rows] == [
+        (2024, 3, 9, date(2024, 3, 9)), (None, 1, 1, None)
+    ]

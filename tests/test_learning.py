@@ -154,8 +154,17 @@ def test_jobs_from_files_to_predictions(spark, tables, tmp_path):
     assert checks["DQ4"].value == 36 and not checks["DQ4"].passed
     assert checks["DQ7"].value == 10 and checks["DQ8"].value == 0
 
-    version = training_job.run(spark, warehouse, AT, grid={"maxDepth": (2, 3)}, maxIter=3)
     board = Dashboard(spark, warehouse)
+    assert board.get_active_model_info().isEmpty()
+    with pytest.raises(LookupError):
+        board.get_feature_importance()
+    version = training_job.run(spark, warehouse, AT, grid={"maxDepth": (2, 3)}, maxIter=3)
+    assert board.get_feature_importance(3).count() == 3
+    assert {r.metric for r in board.get_model_performance_metrics().collect()} >= {"r2_score", "mae"}
+    made = board.generate_predictions(["Country CHL"], [2023, 2024])
+    assert made.count() == 2 and board.validate_predictions(made).first().total_predictions == 2
+    types = dict(board.exports.dtypes)
+    assert (types["YEAR"], types["MES"], types["DIA"]) == ("int", "int", "int")
     assert board.get_active_model_info().first().model_version == version
     assert board.get_predictions().count() == 60
     assert board.get_predictions([2024], ["CHL"]).count() == 1

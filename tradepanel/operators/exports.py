@@ -86,9 +86,16 @@ def coerce_numbers(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({name: C.number_or_null(C.named(name)) for name in columns})
 
 
+def with_date_numbers(df: DataFrame) -> DataFrame:
+    """Year, month and day as integers, where a file gave them as text."""
+    text = [n for n in ("YEAR", "MES", "DIA") if dict(df.dtypes).get(n) == "string"]
+    return df.withColumns({name: F.col(name).try_cast("int") for name in text}) if text else df
+
+
 def clean_exports(df: DataFrame, keep_all: bool = False) -> DataFrame:
     """P3-P6, P8-P16 for the columns that are present; lines without a positive
     FOB are dropped unless ``keep_all``."""
+    df = with_date_numbers(df)
     present = set(df.columns)
 
     def has(*names):

@@ -311,6 +311,11 @@ def read_importances(spark: SparkSession, folder: str, version: str) -> DataFram
     return read_json(spark, f"{folder}/feature_importance_{version}", IMPORTANCES)
 
 
+def reported_metrics(metadata: DataFrame) -> DataFrame:
+    """The measured scores of a version, one row per metric."""
+    return metadata.select("model_version", F.explode("performance_metrics").alias("metric", "value"))
+
+
 def check_deployment(path: str, table: DataFrame) -> DataFrame:
     """The saved model can be loaded and gives a finite prediction."""
     model = PipelineModel.load(path)

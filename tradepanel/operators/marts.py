@@ -124,11 +124,13 @@ def export_summary(raw: DataFrame) -> DataFrame:
 
 
 def by_country_from_mart(monthly: DataFrame) -> DataFrame:
-    """Sums of the monthly mart, so the lines are not read again."""
-    return monthly.groupBy("PAIS_DESTINO_CLEAN").agg(
+    """Sums of the monthly mart, so the lines are not read again; the highest
+    first, over one row per country."""
+    by_country = monthly.groupBy("PAIS_DESTINO_CLEAN").agg(
         total(F.col("TOTAL_FOB_USD")).alias("TOTAL_FOB_USD"),
         F.sum("EXPORT_COUNT").alias("EXPORT_COUNT"),
     )
+    return by_country.orderBy(F.desc("TOTAL_FOB_USD"))
 
 
 def by_country_from_lines(exports: DataFrame) -> DataFrame:

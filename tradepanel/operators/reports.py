@@ -62,8 +62,7 @@ def export_trend(exports: DataFrame, years=None) -> DataFrame:
     )
 
 
-def regional_performance(panel: DataFrame, years=None) -> DataFrame:
-    """A11, with both the number of rows and of countries."""
+def _by_region(panel: DataFrame, years=None) -> DataFrame:
     return (
         filter_in(panel, "year", years)
         .groupBy("region")
@@ -76,9 +75,14 @@ def regional_performance(panel: DataFrame, years=None) -> DataFrame:
     )
 
 
+def regional_performance(panel: DataFrame, years=None) -> DataFrame:
+    """A11, with both the number of rows and of countries; the highest GDP first."""
+    return _by_region(panel, years).orderBy(F.desc("total_gdp"))
+
+
 def regional_share(panel: DataFrame, years=None) -> DataFrame:
     """Each region's share of GDP. The total is over one row per region."""
-    regions = regional_performance(panel, years)
+    regions = _by_region(panel, years)
     share = F.col("total_gdp") / F.sum("total_gdp").over(Window.partitionBy())
     return regions.select("region", "total_gdp", share.alias("share"))
 
@@ -260,18 +264,20 @@ def gdp_growth_analysis(panel: DataFrame, years=None, countries=None) -> DataFra
     return chosen.filter(F.col("gdp_growth_rate").isNotNull()).orderBy("country_name", "year")
 
 
+def _in_rank_order(panel: DataFrame) -> DataFrame:
+    return panel.orderBy(*[name for name in ("year", "ranking") if name in panel.columns])
+
+
 def gdp_by_year(panel: DataFrame, years=None) -> DataFrame:
     """P35."""
     chosen = filter_in(panel, "year", years)
-    return keep_columns(chosen, "year", "country_name", "gdp_value", "ranking").orderBy(
-        "year", "ranking"
-    )
+    return _in_rank_order(keep_columns(chosen, "year", "country_name", "gdp_value", "ranking"))
 
 
 def gdp_rankings(panel: DataFrame, years=None, countries=None) -> DataFrame:
     """P36."""
     chosen = filter_in(filter_in(panel, "year", years), "country_name", countries)
-    return chosen.orderBy("year", "ranking")
+    return _in_rank_order(chosen)
 
 
 def top_countries(panel: DataFrame, years=None, k: int = 10) -> DataFrame:

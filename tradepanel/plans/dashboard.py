@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import learning, marts, quality, reports
@@ -115,7 +117,37 @@ class Dashboard:
         return quality.lineage(self.exports, "exports")
 
     def get_active_model_info(self):
-        return learning.active_model(self._table("model_registry"))
+        """The registered version in use; no row before the first training."""
+        try:
+            registry = self._table("model_registry")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            registry = learning.empty_registry(self.spark)
+        return learning.active_model(registry)
+
+    def _active(self):
+        active = self.get_active_model_info().select("model_version", "model_path").first()
+        if active is None:
+            raise LookupError("no model has been trained yet")
+        return active
+
+    def get_feature_importance(self, k: int = 10):
+        folder = f"{self.warehouse}/models"
+        table = learning.read_importances(self.spark, folder, self._active().model_version)
+        return learning.top_features(table, k)
+
+    def get_model_performance_metrics(self):
+        folder = f"{self.warehouse}/models"
+        metadata = learning.read_metadata(self.spark, folder, self._active().model_version)
+        return learning.reported_metrics(metadata)
+
+    def generate_predictions(self, countries=None, years=None):
+        model = PipelineModel.load(self._active().model_path)
+        return learning.predict(model, self._table("training_table"), countries, years)
+
+    def validate_predictions(self, predictions: DataFrame):
+        return reports.prediction_validation(predictions)
 
     def get_predictions(self, years=None, countries=None):
         chosen = reports.filter_in(self._table("model_predictions"), "year", years)
