@@ -18,8 +18,10 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "tra
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        # Small inputs on one machine are bound by the processor, not by reads:
-        # keep one task per core where Spark would merge them into few.
+        # Small inputs on one machine are bound by the processor, not by reads: keep
+        # one task per core where Spark would merge them into few, or, by a
+        # broadcast, leave all lines in the one task that has read them.
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
         .config("spark.sql.adaptive.localShuffleReader.enabled", "false")
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.ui.enabled", "false")
