@@ -169,3 +169,16 @@ def test_provenance_of_files(spark, folder):
     counts = {r.SOURCE_FILE: r["count"] for r in df.groupBy("SOURCE_FILE").count().collect()}
     assert counts == {"a.csv": 2, "b.csv": 1, "c.csv": 1}
     assert df.filter(F.col("EXTRACTION_DATE") != F.lit(AT)).isEmpty()
+
+
+def test_job_leaves_out_marts_without_their_columns(spark, tmp_path):
+    from tradepanel.plans import exports as job
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("US$ FOB,PAIS DE DESTINO,PRODUCTO\n5,Peru,x\n-1,Peru,y\n")
+    warehouse = str(tmp_path / "warehouse")
+    checks = {r.check_id: r.value for r in job.run(spark, str(tmp_path / "in"), warehouse, AT).collect()}
+    assert (checks["DQ1"], checks["DQ2"], checks["DQ3"]) == (2, 50, 1)
+    exports = tables.read_table(spark, f"{warehouse}/exports")
+    assert [r.FOB_CLEAN for r in exports.collect()] == [5.0]
+    assert not any(job.build_marts(exports, warehouse).values())

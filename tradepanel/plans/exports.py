@@ -12,22 +12,40 @@ from ..sources.export_files import ingest
 from ..sources.tables import read_table, write_if_any, write_table
 
 
+# The marts, and the columns that a table must have for each.
+MARTS = {
+    "monthly_exports_by_country": (
+        marts.monthly_by_destination,
+        {"YEAR", "MES", "PAIS_DESTINO_CLEAN", "FOB_CLEAN", "PESO_BRUTO_CLEAN",
+         "RUT PROBABLE EXPORTADOR"},
+    ),
+    "regional_export_performance": (
+        marts.regional_by_year,
+        {"YEAR", "REGION_ORIGEN_CLEAN", "FOB_CLEAN", "PAIS_DESTINO_CLEAN", "PRODUCTO_CLEAN"},
+    ),
+    "product_export_performance": (
+        marts.product_by_year,
+        {"YEAR", "PRODUCTO_CLEAN", "FOB_CLEAN", "FOB_PER_KG", "PAIS_DESTINO_CLEAN"},
+    ),
+}
+
+
 def clean(raw: DataFrame, run_at: datetime, warehouse: str) -> DataFrame:
     """Write the clean table once; everything after reads it with only the columns
     and years it needs."""
     path = f"{warehouse}/exports"
-    write_table(with_audit(clean_exports(raw), run_at), path, by="YEAR")
+    by = "YEAR" if "YEAR" in raw.columns else None
+    write_table(with_audit(clean_exports(raw), run_at), path, by=by)
     return read_table(raw.sparkSession, path)
 
 
 def build_marts(exports: DataFrame, warehouse: str) -> dict[str, bool]:
-    """A1-A3, A28; tells which marts have rows."""
-    marts_by_name = {
-        "monthly_exports_by_country": marts.monthly_by_destination(exports),
-        "regional_export_performance": marts.regional_by_year(exports),
-        "product_export_performance": marts.product_by_year(exports),
+    """A1-A3, A28; tells which marts were written. One whose columns are missing,
+    or that has no rows, is left out."""
+    written = {
+        name: columns <= set(exports.columns) and write_if_any(mart(exports), f"{warehouse}/{name}")
+        for name, (mart, columns) in MARTS.items()
     }
-    written = {name: write_if_any(mart, f"{warehouse}/{name}") for name, mart in marts_by_name.items()}
     if all(written.values()):
         spark = exports.sparkSession
         long = marts.export_analytics(*[read_table(spark, f"{warehouse}/{n}") for n in written])
