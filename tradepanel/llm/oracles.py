@@ -53,3 +53,25 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGI
        sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
 FROM said
 """
+
+NEAR_DEDUP = rf"""
+WITH RECURSIVE doc_words AS (
+  SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS said
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM doc_words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.said = b.said AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 85 * (x.n + y.n - c)
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n
+"""

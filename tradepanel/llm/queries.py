@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, oracles, token_counts
+from . import bpe, chat, decontamination, near_dedup, oracles, token_counts
 from .common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -16,6 +16,11 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 1024
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose shingle sets are at least 0.85 alike."""
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -66,12 +71,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_near_dedup": op2_near_dedup,
     "op3_bpe": op3_bpe,
     "op8_decontamination": op8_decontamination,
     "op9_chat": op9_chat,
     "op10_token_counts": op10_token_counts,
 }
 ORACLES: dict[str, str] = {
+    "op2_near_dedup": oracles.NEAR_DEDUP,
     "op8_decontamination": oracles.DECONTAMINATION,
     "op9_chat": oracles.CHAT,
 }
