@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, near_dedup, oracles, token_counts
+from . import bpe, chat, decontamination, near_dedup, oracles, quality, sharding, token_counts
 from .common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -28,6 +28,34 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text")
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of nearly equal bytes."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = sharding.shard(docs, keep_text=False)
+    return found.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a model that has not seen the held-out labels."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    found = quality.score(docs, model)
+    return found.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside windows of benchmark items."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -73,6 +101,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_dedup": op2_near_dedup,
     "op3_bpe": op3_bpe,
+    "op5_sharding": op5_sharding,
+    "op6_quality": op6_quality,
     "op8_decontamination": op8_decontamination,
     "op9_chat": op9_chat,
     "op10_token_counts": op10_token_counts,
