@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, near_dedup, oracles, quality, sharding, token_counts
+from . import bpe, chat, decontamination, fingerprints, near_dedup, oracles, quality, sharding, token_counts
 from .common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -16,6 +16,20 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 1024
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bottom-k fingerprints of every document and of its edited text."""
+    found = fingerprints.fingerprint_edits(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        F.char_length("text").cast("bigint").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose shingle sets are at least 0.85 alike."""
     return near_dedup.near_duplicates(documents(spark, sf_dir))
@@ -99,6 +113,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_near_dedup": op2_near_dedup,
     "op3_bpe": op3_bpe,
     "op5_sharding": op5_sharding,
