@@ -75,3 +75,38 @@ WITH RECURSIVE doc_words AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
 FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n
 """
+
+LINE_DEDUP = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(range(0, len(l))) AS line_no, unnest(l) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)
+), worded AS (
+  SELECT doc_id, line_no, regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+') AS w FROM lines
+), said AS (
+  SELECT doc_id, line_no, w, array_to_string(w, ' ') AS s, struct_pack(d := doc_id, l := line_no) AS pos
+  FROM worded WHERE len(w) >= 8
+), firsts AS (
+  SELECT s, min(pos) AS pos, any_value(w) AS w FROM said GROUP BY s
+), variants AS (
+  SELECT s, pos, p, len(w) - 1 AS n, array_to_string(list_concat(w[1 : p - 1], w[p + 1 :]), ' ') AS v
+  FROM (SELECT s, pos, w, unnest(range(1, len(w) + 1)) AS p FROM firsts)
+), near AS (
+  SELECT x.s, y.pos FROM variants x JOIN variants y ON x.v = y.v AND x.p = y.p AND x.n = y.n AND y.pos < x.pos
+  UNION ALL SELECT x.s, y.pos FROM variants x JOIN firsts y ON x.v = y.s AND y.pos < x.pos
+  UNION ALL SELECT y.s, x.pos FROM variants x JOIN firsts y ON x.v = y.s AND x.pos < y.pos
+), earliest AS (
+  SELECT s, min(pos) AS keeper FROM near GROUP BY s
+), gone AS (
+  SELECT said.doc_id, said.line_no, coalesce(keeper, firsts.pos) AS k, CASE WHEN keeper IS NULL THEN 0 ELSE 1 END AS edits
+  FROM said JOIN firsts USING (s) LEFT JOIN earliest USING (s)
+  WHERE keeper IS NOT NULL OR firsts.pos <> said.pos
+), dropped AS (
+  SELECT doc_id, count(*) AS n, string_agg(line_no || ':' || k.d || ':' || k.l || ':' || edits, ',' ORDER BY line_no) AS entries
+  FROM gone GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY line_no) AS text
+  FROM lines ANTI JOIN gone USING (doc_id, line_no) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_dropped, coalesce(entries, '') AS dropped, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents LEFT JOIN dropped USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, fingerprints, near_dedup, oracles, quality, sharding, token_counts
+from . import bpe, chat, decontamination, fingerprints, line_dedup, near_dedup, oracles, quality, sharding, token_counts
 from .common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -70,6 +70,21 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the lines that go, each with its keeper, and what stays."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = line_dedup.without_repeated_lines(docs)
+    entry = F.transform(
+        "dropped", lambda d: F.concat_ws(":", d.line_no, d.keeper_doc_id, d.keeper_line_no, d.edits)
+    )
+    return found.select(
+        "doc_id",
+        F.size("dropped").cast("bigint").alias("n_dropped"),
+        F.array_join(entry, ",").alias("dropped"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside windows of benchmark items."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -118,12 +133,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op5_sharding": op5_sharding,
     "op6_quality": op6_quality,
+    "op7_line_dedup": op7_line_dedup,
     "op8_decontamination": op8_decontamination,
     "op9_chat": op9_chat,
     "op10_token_counts": op10_token_counts,
 }
 ORACLES: dict[str, str] = {
     "op2_near_dedup": oracles.NEAR_DEDUP,
+    "op7_line_dedup": oracles.LINE_DEDUP,
     "op8_decontamination": oracles.DECONTAMINATION,
     "op9_chat": oracles.CHAT,
 }
