@@ -22,11 +22,46 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Each value combined with all before it, by steps of doubled reach."""
+    reach = F.transform(
+        F.sequence(F.lit(0), F.ceil(F.log2(F.size(values) + 1)).cast("int")),
+        lambda k: F.call_function("shiftleft", F.lit(1), k),
+    )
+    return F.aggregate(
+        reach,
+        values,
+        lambda so_far, step: F.transform(
+            so_far, lambda x, i: F.when(i >= step, combine(x, F.get(so_far, i - step))).otherwise(x)
+        ),
+    )
+
+
 def file_bytes(path: str) -> bytes:
     """A vocabulary file, read by the driver; it is sent to tasks as a broadcast."""
     return Path(path).read_bytes()
 
 
+def marked_present(df: DataFrame, key: str, ids: DataFrame, most_bits: int = 1 << 27) -> DataFrame:
+    """Add ``maybe__``: false only for rows whose key is none of ``ids`` (one column).
+
+    A bitmap with about eight bits per id, at most ``most_bits``, is joined by a
+    broadcast of bounded size (64 bits a row). A full bitmap marks every row: it spares
+    a shuffle of rows that have no partner and decides nothing.
+    """
+    name = ids.columns[0]
+    bits = min(most_bits, 1 << max(10, (8 * ids.count()).bit_length()))
+    place = F.pmod(F.xxhash64(F.col(name).cast("bigint")), F.lit(bits))
+    own = ids.select(F.shiftright(place, 6).alias("word__"), F.expr("1L").alias("one"), place.alias("place"))
+    words = own.select("word__", F.call_function("shiftleft", F.col("one"), (F.col("place") % 64).cast("int")).alias("bit"))
+    words = words.groupBy("word__").agg(F.bit_or("bit").alias("bits__"))
+    place = F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(bits))
+    marked = df.withColumns({"word__": F.shiftright(place, 6), "place__": (place % 64).cast("int")})
+    marked = marked.join(F.broadcast(words), "word__", "left")
+    there = F.call_function("getbit", F.coalesce("bits__", F.lit(0).cast("bigint")), F.col("place__")) == 1
+    return marked.withColumn("maybe__", there).drop("word__", "place__", "bits__")
+
+
 class Bounded(dict):
     """A table of computed values that starts anew when it holds ``limit`` of them."""
 

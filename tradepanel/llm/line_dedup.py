@@ -21,11 +21,11 @@ document of any number of copies is gathered in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import stored
-from .common import let
+from .common import let, marked_present, running
 
 #: Lines of fewer words are kept: headings and short answers repeat by nature.
 MIN_WORDS = 8
@@ -36,94 +36,87 @@ def line_words(line: Column) -> Column:
     return F.filter(F.split(F.lower(line), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
-def _xor(a: Column, b: Column) -> Column:
-    return a.bitwiseXOR(b)
-
-
 def _lines(rows: DataFrame, min_words: int) -> DataFrame:
     """Lines that take part: place, hash of the words, hashes of halves."""
     lines = rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
     def facts(words: Column) -> Column:
         size = F.size(words)
-        joined = F.array_join(words, " ")
 
         def half(length: Column, last: bool) -> Column:
-            cut = F.floor(length / 2).cast("int")
-            part = F.slice(words, size - (length - cut) + 1, length - cut) if last else F.slice(words, 1, cut)
+            part = F.slice(words, size - length + 1, length) if last else F.slice(words, 1, length)
             return F.xxhash64(length, F.lit(last), part)
 
         # for a common part of as many words as the line, and of one less
-        halves = F.array(*[half(size - d, last) for d in (0, 1) for last in (False, True)])
+        halves = F.array(
+            half(F.floor(size / 2).cast("int"), False),
+            half(F.floor((size - 1) / 2).cast("int"), False),
+            half(F.ceil(size / 2).cast("int"), True),
+            half(F.ceil((size - 1) / 2).cast("int"), True),
+        )
         return F.struct(
-            size.alias("words"),
-            F.xxhash64(joined).alias("h"),
-            F.xxhash64(F.lit(1), joined).alias("g"),
-            F.when(size >= min_words, halves).alias("halves"),
+            F.xxhash64(words).alias("h"),
+            F.xxhash64(F.lit(1), words).alias("g"),
+            F.when(size >= min_words, F.array_distinct(halves)).alias("halves"),
         )
 
-    found = lines.withColumn("f", let(line_words(F.col("line")), facts)).where(F.col("f.words") >= min_words)
+    found = lines.withColumn("f", let(line_words(F.col("line")), facts)).where(F.col("f.halves").isNotNull())
     return found.select("doc_id", "line_no", "f.*")
 
 
-def _near_lines(distinct: DataFrame, lines: DataFrame, rows: DataFrame) -> DataFrame:
-    """(h, g, keeper): distinct lines with an earlier near one, and the earliest of those."""
-    halves = lines.select("h", F.explode("halves").alias("half"))
-    open_halves = halves.groupBy("half").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low < high")
-    again = halves.join(open_halves.select("half"), "half", "left_semi").select("h").distinct()
-    firsts = distinct.join(again, "h", "left_semi")
-    wanted = firsts.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "h", "g")).alias("own"))
-    texts = rows.join(wanted, "doc_id").select(
-        "doc_id",
-        F.explode(
-            let(
-                F.split("text", "\n"),
-                lambda said: F.transform(
-                    "own", lambda o: F.struct(o.line_no.alias("line_no"), o.h.alias("h"), o.g.alias("g"), F.get(said, o.line_no).alias("line"))
-                ),
-            )
-        ).alias("l"),
-    )
-    texts = texts.select(F.struct("doc_id", "l.line_no").alias("at"), "l.h", "l.g", line_words(F.col("l.line")).alias("words"))
+def _variants(words: Column) -> Column:
+    """(key, p): the line without its word p, and the whole line at p = -1."""
+    none, xor = F.lit(0).cast("bigint"), Column.bitwiseXOR
+    here = F.transform(words, lambda w, i: F.xxhash64(i, w))
+    moved = F.transform(words, lambda w, i: F.xxhash64(i - 1, w))
+
+    def keys(left: Column, right: Column) -> Column:
+        size = F.size(left)
+
+        def without(upto: Column, p: Column) -> Column:
+            after = F.element_at(right, -1).bitwiseXOR(F.get(right, p))
+            before = F.when(p > 0, F.get(left, p - 1)).otherwise(none)
+            return F.struct(F.xxhash64(before.bitwiseXOR(after), size - 1).alias("key"), p.alias("p"))
+
+        whole = F.struct(F.xxhash64(F.element_at(left, -1), size).alias("key"), F.lit(-1).alias("p"))
+        return F.concat(F.array(whole), F.transform(left, without))
+
+    return let(running(here, xor), lambda left: let(running(moved, xor), lambda right: keys(left, right)))
+
+
+def _near_lines(firsts: DataFrame, rows: DataFrame) -> DataFrame:
+    """(first, keeper): first lines with an earlier near one, and the earliest of those."""
+    wanted = stored(firsts.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "h", "g")).alias("own")), "near-docs")
+
+    def own_lines(said: Column) -> Column:
+        return F.transform(
+            "own", lambda o: F.struct(o.line_no.alias("line_no"), o.h.alias("h"), o.g.alias("g"), F.get(said, o.line_no).alias("line"))
+        )
+
+    found = marked_present(rows, "doc_id", wanted.select("doc_id")).where("maybe__").drop("maybe__").join(wanted, "doc_id")
+    found = found.select("doc_id", F.explode(let(F.split("text", "\n"), own_lines)).alias("l"))
+    found = found.select("doc_id", "l.line_no", "l.h", "l.g", line_words(F.col("l.line")).alias("words"))
     # rows of one doc_id with different texts: the hash tells which is meant
-    joined = F.array_join("words", " ")
-    texts = stored(texts.where((F.xxhash64(joined) == F.col("h")) & (F.xxhash64(F.lit(1), joined) == F.col("g"))).distinct(), "near-lines")
-    spread = texts.select("at", "h", "g", F.size("words").alias("n"), F.posexplode("words").alias("p", "word"))
-    here, moved = F.xxhash64("p", "word"), F.xxhash64(F.col("p") - 1, F.col("word"))
-    whole = Window.partitionBy("h", "g", "at")
-    before = whole.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    after = whole.orderBy("p").rowsBetween(1, Window.unboundedFollowing)
-    none = F.lit(0).cast("bigint")
-    spread = spread.withColumns({"here": here, "moved": moved}).withColumns(
-        {
-            "left": F.coalesce(F.bit_xor("here").over(before), none),
-            "total": F.bit_xor("here").over(whole),
-            "moved_left": F.coalesce(F.bit_xor("moved").over(before), none),
-            "moved_total": F.bit_xor("moved").over(whole),
-        }
-    )
-    right = _xor(_xor(F.col("moved_total"), F.col("moved_left")), F.col("moved"))
-    spread = spread.select("at", "h", "g", "n", "p", "total", _xor(F.col("left"), right).alias("variant"))
-    spread = stored(spread, "variants")
-    # runs of equal words give one variant at several places
-    line = F.struct("at", "h", "g").alias("line")
-    deleted = spread.select(F.col("variant").alias("key"), (F.col("n") - 1).alias("size"), "p", line)
-    full = spread.where("p = 0").select(F.col("total").alias("key"), F.col("n").alias("size"), line)
-    replaced = deleted.groupBy("key", "size", "p").agg(F.min("line").alias("first"), F.max("line").alias("last"))
-    replaced = replaced.where("first < last").drop("last")
-    longer = deleted.groupBy("key", "size").agg(F.min("line").alias("first"))
+    texts = found.where((F.xxhash64("words") == F.col("h")) & (F.xxhash64(F.lit(1), F.col("words")) == F.col("g")))
+    texts = stored(texts.select("doc_id", "line_no", "words").dropDuplicates(["doc_id", "line_no"]), "near-lines")
+    keys = texts.select("doc_id", "line_no", F.inline(_variants(F.col("words"))))
+    bounds = [F.min("doc_id").alias("d1"), F.max("doc_id").alias("d2"), F.min("line_no").alias("l1"), F.max("line_no").alias("l2")]
+    met = keys.groupBy("key").agg(*bounds).where("d1 < d2 or l1 < l2").select("key")
+    place = F.struct("doc_id", "line_no").alias("line")
+    keys = stored(keys.join(met, "key", "left_semi").select("key", "p", place), "variants")
+    deleted, full = keys.where("p >= 0"), keys.where("p < 0").drop("p")
+    replaced = deleted.groupBy("key", "p").agg(F.min("line").alias("first"))
+    longer = deleted.groupBy("key").agg(F.min("line").alias("first"))
     pairs = (
-        deleted.join(replaced, ["key", "size", "p"]).select("line", "first")
-        .union(deleted.join(full.withColumnRenamed("line", "first"), ["key", "size"]).select("line", "first"))
-        .union(full.join(longer, ["key", "size"]).select("line", "first"))
+        deleted.join(replaced, ["key", "p"]).select("line", "first")
+        .union(deleted.join(full.withColumnRenamed("line", "first"), "key").select("line", "first"))
+        .union(full.join(longer, "key").select("line", "first"))
     )
-    pairs = pairs.where("first.at < line.at").distinct()
-    side = texts.select("h", "g", "words")
-    checked = pairs.select("line.h", "line.g", "first").join(side, ["h", "g"])
-    other = side.select(F.col("h").alias("oh"), F.col("g").alias("og"), F.col("words").alias("others"))
-    checked = checked.join(other, (F.col("first.h") == F.col("oh")) & (F.col("first.g") == F.col("og")))
+    pairs = pairs.where("first < line").distinct()
+    side = texts.select(place, "words")
+    checked = pairs.join(side, "line").join(side.toDF("first", "others"), "first")
     checked = checked.where(_within_one_edit(F.col("words"), F.col("others")))
-    return checked.groupBy("h", "g").agg(F.min("first.at").alias("keeper"))
+    return checked.groupBy(F.col("line").alias("first")).agg(F.min("first").alias("keeper"))
 
 
 def _within_one_edit(a: Column, b: Column) -> Column:
@@ -146,13 +139,19 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null and text is not null")
     lines = stored(_lines(rows, min_words), "lines")
-    distinct = lines.groupBy("h", "g").agg(F.min(F.struct("doc_id", "line_no")).alias("at")).select("h", "g", "at.*")
-    distinct = stored(distinct, "first-lines")
-    firsts = distinct.select("h", "g", F.struct("doc_id", "line_no").alias("first"))
-    marked = lines.select("doc_id", "line_no", "h", "g").distinct().join(firsts, ["h", "g"])
+    repeated = lines.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h")
+    place = F.struct("doc_id", "line_no")
+    if near:
+        halves = lines.select("h", F.explode("halves").alias("half"))
+        met = halves.groupBy("half").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low < high")
+        alike = stored(halves.join(met.select("half"), "half", "left_semi").select("h").distinct(), "alike")
+        repeated = repeated.union(alike).distinct()
+    own = stored(lines.select("doc_id", "line_no", "h", "g").join(repeated, "h", "left_semi"), "own-lines")
+    firsts = stored(own.groupBy("h", "g").agg(F.min(place).alias("first")), "first-lines")
+    marked = own.join(firsts, ["h", "g"])
     if near:
-        earlier = _near_lines(distinct, lines, rows)
-        marked = marked.join(earlier, ["h", "g"], "left")
+        chosen = firsts.join(alike, "h", "left_semi").select("h", "g", "first.*")
+        marked = marked.join(_near_lines(chosen, rows), "first", "left")
     else:
         marked = marked.withColumn("keeper", F.lit(None).cast(marked.schema["first"].dataType))
     goes = (F.struct("doc_id", "line_no") != F.col("first")) | F.col("keeper").isNotNull()
@@ -163,7 +162,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.col("at.doc_id").alias("keeper_doc_id"),
         F.col("at.line_no").alias("keeper_line_no"),
         F.when(F.col("keeper").isNotNull(), 1).otherwise(0).alias("edits"),
-    )
+    ).distinct()
 
 
 def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -176,15 +175,19 @@ def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str =
     repeated = repeated_lines(docs, doc_id, text, **options)
     entry = F.struct("line_no", "keeper_doc_id", "keeper_line_no", "edits")
     gone = repeated.groupBy(F.col("doc_id").alias("id__")).agg(F.array_sort(F.collect_list(entry)).alias("dropped"))
-    joined = docs.drop("dropped").join(gone, F.col(doc_id) == F.col("id__"), "left").drop("id__")
+    gone = stored(gone, "gone-lines")
+    nothing = F.array().cast("array<struct<line_no:int,keeper_doc_id:bigint,keeper_line_no:int,edits:int>>")
+    both = marked_present(docs.drop("dropped"), doc_id, gone.select("id__"))
+    untouched = both.where(~F.coalesce("maybe__", F.lit(False))).withColumn("dropped", nothing)
+    joined = both.where("maybe__").join(gone, F.col(doc_id) == F.col("id__"), "left").drop("id__")
     kept = let(
         F.col("dropped.line_no"),
         lambda numbers: F.filter(F.split(F.col(text), "\n"), lambda _, i: ~F.array_contains(numbers, i)),
     )
-    nothing = F.array().cast("array<struct<line_no:int,keeper_doc_id:bigint,keeper_line_no:int,edits:int>>")
-    return joined.withColumns(
+    joined = joined.withColumns(
         {
             text: F.when(F.col("dropped").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")),
             "dropped": F.coalesce("dropped", nothing),
         }
     )
+    return untouched.unionByName(joined).drop("maybe__")
