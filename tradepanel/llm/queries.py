@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, fingerprints, line_dedup, near_dedup, oracles, quality, sharding, token_counts
+from . import bpe, chat, decontamination, fingerprints, line_dedup, near_dedup, oracles, pii, quality, sharding, token_counts
 from .common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -42,6 +42,20 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: four certain kinds, and credentials as learnt."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = pii.find_personal_data(docs, weights=pii.train(docs))
+    base = F.array_join(F.concat(*[pii.written(kind) for kind in pii.KINDS]), ",")
+    spans = F.array_join(F.concat(*[pii.written(kind) for kind in (*pii.KINDS, pii.SECRET)]), ",")
+    return found.select(
+        "doc_id",
+        *[F.size(f"{kind}_spans").cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+        spans.alias("spans"),
+    )
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of nearly equal bytes."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -131,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_near_dedup": op2_near_dedup,
     "op3_bpe": op3_bpe,
+    "op4_pii": op4_pii,
     "op5_sharding": op5_sharding,
     "op6_quality": op6_quality,
     "op7_line_dedup": op7_line_dedup,
