@@ -6,12 +6,16 @@
    two sketches counts, but for collisions, the positions in which the two differ.
 2. Equal sets are one node. Nodes that share a band key are candidates. With 32 bands
    of 4 values a pair at the similarity 0.85 is missed with probability 6e-11.
-3. Within a key, nodes are compared with its hub: the node whose keys are shared by
-   most others. After each round, what is linked is one component, and keys within one
-   component are done. A large group of copies so costs about one pair per copy.
-4. What is still apart in a key is compared in full: in pairs of blocks, on sketches in
-   memory, and only pairs of different components whose sketches are near go on.
-5. Every link is confirmed on the full sets. Components take the smallest id.
+3. Candidates are filtered by their odd sketches, and then by a second parity bitmap,
+   of the whole set: two sets differ in at least as many shingles as their bitmaps in
+   bits, so more bits than a link allows rule it out for certain.
+4. Within a key, nodes are compared with its hub: the node whose keys are shared by
+   most others. What is linked is one component, and keys within one component are
+   done. A large group of copies so costs about one pair per copy.
+5. What is still apart in a key is compared in full: in pairs of blocks, on bitmaps in
+   memory. Each node first goes on with the nearest node of every other component;
+   after these links, all near pairs that are still apart go on.
+6. Every link is confirmed on the full sets. Components take the smallest id.
 
 No candidate is dropped for number or size of a key.
 """
@@ -19,8 +23,6 @@ No candidate is dropped for number or size of a key.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import xxhash
@@ -28,16 +30,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import stored
+from .common import marked_present
 from .components import components
 
 SHINGLE = 5
 SAMPLES, ROWS = 128, 4
 BANDS = SAMPLES // ROWS
 SKETCH_BITS = 512
+PARITY_BITS = 1024
 #: Similarity of a link, in hundredths.
 LINK_PERCENT = 85
-#: Rounds of hubs before what is left is compared in full.
-HUB_ROUNDS = 2
 #: Up to so many nodes of a key are paired by a join; more in blocks of this size.
 SMALL_KEY, BLOCK = 32, 2048
 #: Standard deviations of the sketch's estimate that a candidate may fall short.
@@ -92,6 +94,12 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def set_parity(shingles: np.ndarray) -> np.ndarray:
+    """Parity, for each bit, of the shingles that hash to it."""
+    odd = np.bincount((shingles >> np.uint64(20)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def most_bits(percent: int) -> int:
     """Bits in which the sketches of two sets of this similarity differ, at most.
 
@@ -132,113 +140,124 @@ def signature(text: Column) -> Column:
 
 
 def shingle_sets(text: Column) -> Column:
-    return F.pandas_udf(_sets, "set_key binary, shingles array<bigint>")(text)
+    return F.pandas_udf(_sets, "set_key binary, shingles array<bigint>, parity array<bigint>")(text)
 
 
 def _sets(texts: pd.Series) -> pd.DataFrame:
     sets = [shingle_set(x) for x in texts]
-    return pd.DataFrame({"set_key": [set_key(x) for x in sets], "shingles": [x.view(np.int64) for x in sets]})
+    return pd.DataFrame(
+        {
+            "set_key": [set_key(x) for x in sets],
+            "shingles": [x.view(np.int64) for x in sets],
+            "parity": [set_parity(x) for x in sets],
+        }
+    )
 
 
-def _bits(a: str, b: str) -> Column:
-    """Differing bits of two sketches."""
-    words = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(SKETCH_BITS // 64)]
+def _bits(a: str, b: str, size: int) -> Column:
+    """Differing bits of two bitmaps."""
+    words = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(size // 64)]
     return sum(words[1:], words[0])
 
 
-def _in_blocks(limit: int):
-    def pairs(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in groups:
-            left, right = rows[rows.side == 0], rows[rows.side == 1]
-            if right.empty:
-                right = left
-            sketches = np.stack(right.sketch.to_list())
-            nodes, labels = right.node.to_numpy(), right.label.to_numpy()
-            for node, label, sketch in zip(left.node, left.label, left.sketch, strict=True):
-                bits = np.bitwise_count(sketches ^ sketch).sum(axis=1)
-                near = (bits <= limit) & (labels != label)
-                if near.any():
-                    yield pd.DataFrame({"a": np.minimum(nodes[near], node), "b": np.maximum(nodes[near], node)})
+def _in_blocks(limit: int, percent: int, nearest: bool):
+    """Compares the members of one key in two blocks (or one), by bitmaps."""
+
+    def pairs(rows: pd.DataFrame) -> pd.DataFrame:
+        left, right = rows[rows.side == 0], rows[rows.side == 1]
+        if right.empty:
+            right = left
+        sketches, parities = np.stack(right.sketch.to_list()), np.stack(right.parity.to_list())
+        nodes, labels, sizes = right.node.to_numpy(), right.label.to_numpy(), right.n.to_numpy()
+        found = []
+        for x in left.itertuples():
+            near = np.flatnonzero(labels != x.label)
+            near = near[np.bitwise_count(sketches[near] ^ x.sketch).sum(axis=1) <= limit]
+            apart = np.bitwise_count(parities[near] ^ x.parity).sum(axis=1).astype(np.int64)
+            held = apart * (100 + percent) <= (sizes[near] + x.n) * (100 - percent)
+            near, apart = near[held], apart[held]
+            if nearest and len(near):
+                order = np.lexsort((nodes[near], apart))
+                near = near[order][np.unique(labels[near][order], return_index=True)[1]]
+            found.append(pd.DataFrame({"a": np.minimum(nodes[near], x.node), "b": np.maximum(nodes[near], x.node)}))
+        return pd.concat(found).astype("int64").drop_duplicates()
 
     return pairs
 
 
 class _Search:
-    """Links between nodes, found round by round."""
+    """Links between nodes, found round by round.
 
-    def __init__(self, shared: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int):
-        self.shared, self.sketches, self.sets, self.percent = shared, sketches, sets, percent
+    ``shared``: key, node, score. ``bitmaps``: node, n, sketch, parity. ``sets``: node,
+    shingles. ``known``: node and component of what is linked so far.
+    """
+
+    def __init__(self, shared: DataFrame, bitmaps: DataFrame, sets: DataFrame, percent: int):
+        self.shared, self.bitmaps, self.sets, self.percent = shared, bitmaps, sets, percent
         self.limit = most_bits(percent)
         self.links: DataFrame | None = None
         self.tried: DataFrame | None = None
+        self.known: DataFrame | None = None
 
     def labelled(self) -> DataFrame:
         """Members of the keys that are not yet within one component, with its label."""
-        if self.links is None:
+        if self.known is None:
             return self.shared.withColumn("label", F.col("node"))
-        known = components(self.links)
-        rows = self.shared.join(known, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+        rows = self.shared.join(self.known, "node", "left")
+        rows = rows.withColumn("label", F.coalesce("component", "node")).drop("component")
         apart = rows.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
         open_keys = apart.where("least < most").select("key")
         return stored(rows.join(open_keys, "key", "left_semi"), "open-keys")
 
     def hub_pairs(self, rows: DataFrame) -> DataFrame:
-        """Each member with the hub of its key, the next hub in later rounds."""
+        """Each member with the hub of its key."""
         ranked = F.struct(F.col("score").alias("score"), (-F.col("node")).alias("least"), "label")
         hubs = rows.groupBy("key").agg(F.max(ranked).alias("hub"))
         pairs = rows.join(hubs, "key").where("label <> hub.label")
         node = -F.col("hub.least")
         return pairs.select(F.least("node", node).alias("a"), F.greatest("node", node).alias("b"))
 
-    def all_pairs(self, rows: DataFrame) -> DataFrame:
-        """Pairs of different components in a key whose sketches are near."""
-        rows = rows.join(self.sketches, "node")
+    def all_pairs(self, rows: DataFrame, nearest: bool) -> DataFrame:
+        """Pairs of different components in a key whose bitmaps are near."""
         sizes = rows.groupBy("key").agg(F.count("*").alias("members"))
-        rows = stored(rows.join(sizes, "key"), "members")
-        small = rows.where(F.col("members") <= SMALL_KEY).select("key", "node", "label", "sketch")
-        other = small.toDF("key", "node2", "label2", "sketch2")
-        joined = small.join(other, "key").where("node < node2 and label <> label2")
-        joined = joined.where(_bits("sketch", "sketch2") <= self.limit)
+        rows = rows.select("key", "node", "label").join(sizes, "key")
+        few = rows.where(F.col("members") <= SMALL_KEY).select("key", "node", "label")
+        joined = few.join(few.toDF("key", "node2", "label2"), "key").where("node < node2 and label <> label2")
         blocks = F.ceil(F.col("members") / BLOCK)
-        own = F.pmod(F.xxhash64("node"), blocks)
-        large = rows.where(F.col("members") > SMALL_KEY).withColumn("own", own)
-        large = large.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("members") / BLOCK) - 1)))
-        large = large.select(
+        many = rows.where(F.col("members") > SMALL_KEY).withColumn("own", F.pmod(F.xxhash64("node"), blocks))
+        many = many.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+        many = many.join(self.bitmaps, "node").select(
             "key",
             F.least("own", "other").alias("i"),
             F.greatest("own", "other").alias("j"),
             F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"),
             "node",
             "label",
+            "n",
             "sketch",
+            "parity",
         )
-        compare = _in_blocks(self.limit)
-        blocked = large.groupBy("key", "i", "j").applyInPandas(
-            lambda rows: pd.concat([pd.DataFrame({"a": [], "b": []}, dtype="int64"), *compare(iter([rows]))]), "a bigint, b bigint"
-        )
+        compare = _in_blocks(self.limit, self.percent, nearest)
+        blocked = many.groupBy("key", "i", "j").applyInPandas(compare, "a bigint, b bigint")
         return joined.select(F.col("node").alias("a"), F.col("node2").alias("b")).union(blocked)
 
-    def confirm(self, pairs: DataFrame) -> bool:
-        """Add the pairs whose full sets are similar enough; whether there were new pairs."""
+    def confirm(self, pairs: DataFrame) -> None:
+        """Add the pairs whose full sets are similar enough."""
         fresh = pairs.distinct()
         if self.tried is not None:
             fresh = fresh.join(self.tried, ["a", "b"], "left_anti")
-        near = (
-            fresh.join(self.sketches.toDF("a", "sketch"), "a")
-            .join(self.sketches.toDF("b", "sketch2"), "b")
-            .where(_bits("sketch", "sketch2") <= self.limit)
-            .select("a", "b")
-        )
-        near = stored(near, "candidates")
-        if near.isEmpty():
-            return False
+        one, other = self.bitmaps.toDF("a", "n", "sketch", "parity"), self.bitmaps.toDF("b", "n2", "sketch2", "parity2")
+        near = fresh.join(one, "a").join(other, "b").where(_bits("sketch", "sketch2", SKETCH_BITS) <= self.limit)
+        apart = _bits("parity", "parity2", PARITY_BITS) * (100 + self.percent)
+        near = stored(near.where(apart <= (F.col("n") + F.col("n2")) * (100 - self.percent)).select("a", "b"), "candidates")
         found = near.join(self.sets.toDF("a", "set_a"), "a").join(self.sets.toDF("b", "set_b"), "b")
         common = F.size(F.array_intersect("set_a", "set_b"))
         found = found.select("a", "b", common.alias("c"), (F.size("set_a") + F.size("set_b") - common).alias("u"))
         links = stored(found.where(F.col("c") * 100 >= F.col("u") * self.percent).select("a", "b"), "links")
-        self.links = links if self.links is None else self.links.union(links)
         self.tried = near if self.tried is None else self.tried.union(near)
-        return True
+        if not links.isEmpty():
+            self.links = links if self.links is None else self.links.union(links)
+            self.known = components(self.links)
 
 
 def near_duplicates(
@@ -265,12 +284,12 @@ def near_duplicates(
     keys = first.select("node", F.explode("bands").alias("key"))
     counts = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     shared = stored(keys.join(counts, "key"), "shared-keys")
-    found = _links(docs, doc_id, text, first, shared, percent)
+    found = _components(docs, doc_id, text, first, shared, percent)
     result = signed.join(nodes, "set_key", "left")
     if found is None:
         result = result.withColumn("component", F.lit(None).cast("bigint"))
     else:
-        result = result.join(components(found), "node", "left")
+        result = result.join(found, "node", "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("doc_id"))
     return result.select(
         "doc_id",
@@ -280,24 +299,26 @@ def near_duplicates(
     )
 
 
-def _links(docs, doc_id: str, text: str, first: DataFrame, shared: DataFrame, percent: int) -> DataFrame | None:
-    """Links (a, b) between nodes, or none."""
+def _components(docs, doc_id: str, text: str, first: DataFrame, shared: DataFrame, percent: int) -> DataFrame | None:
+    """(node, component) of the linked nodes, or none."""
     if shared.isEmpty():
         return None
     score = shared.groupBy("node").agg(F.sum("members").alias("score"))
     shared = stored(shared.select("key", "node").join(score, "node"), "scored-keys")
-    wanted = first.select("node", "set_key", "sketch").join(shared.select("node").distinct(), "node", "left_semi")
+    wanted = first.select("node", "set_key", "n", "sketch").join(score.select("node"), "node", "left_semi")
     wanted = stored(wanted, "sketches")
     rows = docs.select(F.col(doc_id).cast("bigint").alias("node"), F.col(text).alias("text"))
-    rows = rows.join(wanted, "node", "left_semi").select("node", shingle_sets(F.col("text")).alias("s")).select("node", "s.*")
-    sets = rows.join(wanted.select("node", "set_key"), ["node", "set_key"], "left_semi").dropDuplicates(["node", "set_key"])
-    sets, sketches = stored(sets.select("node", "shingles"), "sets"), wanted.select("node", "sketch")
-    search = _Search(shared, sketches, sets, percent)
-    for _ in range(HUB_ROUNDS):
+    rows = marked_present(rows, "node", wanted.select("node")).where("maybe__").select("node", "text")
+    rows = stored(rows.join(wanted.select("node"), "node", "left_semi"), "candidate-texts")
+    sets = rows.select("node", shingle_sets(F.col("text")).alias("s")).select("node", "s.*")
+    sets = sets.join(wanted.select("node", "set_key"), ["node", "set_key"], "left_semi").dropDuplicates(["node", "set_key"])
+    sets = stored(sets.select("node", "shingles", "parity"), "sets")
+    bitmaps = wanted.select("node", "n", "sketch").join(sets.select("node", "parity"), "node")
+    search = _Search(shared, stored(bitmaps, "bitmaps"), sets.select("node", "shingles"), percent)
+    search.confirm(search.hub_pairs(shared.withColumn("label", F.col("node"))))
+    for nearest in (True, False):
         rows = search.labelled()
-        if rows.isEmpty() or not search.confirm(search.hub_pairs(rows)):
+        if rows.isEmpty():
             break
-    rows = search.labelled()
-    if not rows.isEmpty():
-        search.confirm(search.all_pairs(rows))
-    return search.links
+        search.confirm(search.all_pairs(rows, nearest))
+    return search.known
