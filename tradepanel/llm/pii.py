@@ -251,15 +251,13 @@ def masked(found: DataFrame, text: str = "text", output: str = "masked") -> Data
 
     Of overlapping spans the earlier, and then the longer one is replaced.
     """
-    kinds = (*KINDS, SECRET)
-    spans = F.array_sort(
-        F.concat(
-            *[
-                F.transform(f"{kind}_spans", lambda s, kind=kind: F.struct(s.start.alias("start"), (-s.end).alias("back"), F.lit(kind).alias("kind")))
-                for kind in kinds
-            ]
+
+    def places(kind: str) -> Column:
+        return F.transform(
+            f"{kind}_spans", lambda s: F.struct(s.start.alias("start"), (-s.end).alias("back"), F.lit(kind).alias("kind"))
         )
-    )
+
+    spans = F.array_sort(F.concat(*[places(kind) for kind in (*KINDS, SECRET)]))
     whole = F.coalesce(F.col(text), F.lit(""))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("said"))
 
