@@ -18,6 +18,7 @@ import re
 import unicodedata
 from collections.abc import Iterable
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.broadcast import Broadcast
@@ -141,7 +142,7 @@ def _outputs(one: Encoder, text: str | None, wanted: tuple[str, ...]) -> tuple:
     joined = " ".join([x[1] for x in found])
     decoded = one.file.joiner.join([x[2] for x in found])
     make = {
-        "ids": lambda: [int(i) for i in joined.split()],
+        "ids": lambda: np.fromstring(joined, np.int32, sep=" "),
         "decoded": lambda: decoded,
         "n_tokens": lambda: sum([x[0] for x in found]),
         "ids_sha256": lambda: _sha256(joined),
