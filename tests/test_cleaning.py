@@ -200,3 +200,9 @@ def test_dates_as_text(spark):
     assert [(r.YEAR, r.MES, r.DIA, r.EXPORT_DATE) for r in rows] == [
         (2024, 3, 9, date(2024, 3, 9)), (None, 1, 1, None)
     ]
+
+
+def test_month_of_three_digits_is_no_date(spark):
+    df = spark.createDataFrame([("2024", "113", "5"), ("2024", "11", "310"), ("2024", "1", "5")], "y string, m string, d string")
+    found = values(df, C.export_date(F.col("y"), F.col("m"), F.col("d")))
+    assert [x is None for x in found] == [True, True, False]

@@ -182,3 +182,10 @@ def test_job_leaves_out_marts_without_their_columns(spark, tmp_path):
     exports = tables.read_table(spark, f"{warehouse}/exports")
     assert [r.FOB_CLEAN for r in exports.collect()] == [5.0]
     assert not any(job.build_marts(exports, warehouse).values())
+
+
+@pytest.mark.parametrize("name", ["Exp Enero 2024.csv", "exp[1].csv", "EXP.CSV", "100% {a} ñ+b.csv"])
+def test_any_file_name_is_read(spark, tmp_path, name):
+    (tmp_path / name).write_text("US$ FOB,PAIS DE DESTINO,YEAR\n7,Peru,2022\n")
+    (row,) = export_files.ingest(spark, str(tmp_path), AT).collect()
+    assert row["US$ FOB"] == "7"

@@ -52,7 +52,7 @@ _group = " ".join(
     f"WHEN contains(region_key, {text(word)}) THEN {text(name)}" for word, name in REGION_GROUPS
 )
 _world = " ".join(
-    f"WHEN country_code IN ({texts(codes.split())}) THEN {text(name)}"
+    f"WHEN country_code IN ({texts(codes)}) THEN {text(name)}"
     for name, codes in WORLD_REGIONS.items()
 )
 _by_country = "OVER (PARTITION BY country_code ORDER BY year)"
@@ -92,8 +92,8 @@ CTES = {
                coalesce({number('"US$ FOB"')}, 0) AS "FOB_CLEAN",
                coalesce({number('"PESO BRUTO"')}, 0) AS "PESO_BRUTO_CLEAN",
                coalesce({number('"CANTIDAD"')}, 0) AS "CANTIDAD_CLEAN",
-               try_cast(concat_ws('-', CAST("YEAR" AS VARCHAR), lpad(CAST("MES" AS VARCHAR), 2, '0'),
-                 lpad(CAST("DIA" AS VARCHAR), 2, '0')) AS DATE) AS "EXPORT_DATE",
+               CASE WHEN "MES" BETWEEN 1 AND 12 AND "DIA" BETWEEN 1 AND 31 THEN
+                 try_cast(printf('%d-%02d-%02d', "YEAR", "MES", "DIA") AS DATE) END AS "EXPORT_DATE",
                trim(upper(regexp_replace({fold('"PAIS DE DESTINO"')}, '[^A-Za-z\\s]', '', 'g')))
                  AS "PAIS_DESTINO_CLEAN",
                trim(upper("PRODUCTO")) AS "PRODUCTO_CLEAN",

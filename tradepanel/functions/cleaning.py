@@ -40,12 +40,16 @@ def amount(df: DataFrame, name: str) -> Column:
 
 
 def export_date(year: Column, month: Column, day: Column | None = None) -> Column:
-    """The date, null where it does not exist; day 1 if there is no day."""
+    """The date, null where it does not exist; day 1 if there is no day.
+
+    A month or day of more than two digits does not exist; it is not cut.
+    """
     def two(c):
-        return F.lpad(c.cast("string"), 2, "0")
+        digits = c.cast("string")
+        return F.when(F.length(digits) <= 2, F.lpad(digits, 2, "0"))
 
     last = F.lit("01") if day is None else two(day)
-    return F.try_to_date(F.concat_ws("-", year.cast("string"), two(month), last), "yyyy-MM-dd")
+    return F.try_to_date(F.concat(year.cast("string"), F.lit("-"), two(month), F.lit("-"), last), "yyyy-MM-dd")
 
 
 def fold_accents(column: Column) -> Column:

@@ -45,7 +45,7 @@ def world_region(code: Column) -> Column:
     """P26. Long code lists become hash sets in the plan, so no join is needed."""
     region = F.when(F.lit(False), OTHER)
     for name, codes in WORLD_REGIONS.items():
-        region = region.when(code.isin(*codes.split()), name)
+        region = region.when(code.isin(*codes), name)
     return region.otherwise(OTHER)
 
 

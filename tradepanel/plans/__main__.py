@@ -17,7 +17,8 @@ def main() -> None:
     parser.add_argument("--landing")
     parser.add_argument("--run-at", type=datetime.fromisoformat, required=True)
     args = parser.parse_args()
-    spark = SparkSession.builder.appName(f"tradepanel-{args.job}").getOrCreate()
+    builder = SparkSession.builder.appName(f"tradepanel-{args.job}")
+    spark = builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if args.job == "training":
         print(training.run(spark, args.warehouse, args.run_at))
     else:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import csv
+import re
 from datetime import datetime
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,7 +60,7 @@ def inspect_files(spark: SparkSession, path: str) -> DataFrame:
     generated ids follow the order in which a split is read.
     """
     lines = (
-        spark.read.option("pathGlobFilter", "*.csv")
+        spark.read.option("pathGlobFilter", "*.[cC][sS][vV]")
         .option("recursiveFileLookup", "true")
         .text(path)
         .select(
@@ -102,6 +104,11 @@ def header_names(header: str) -> list[str]:
     return distinct_names([name.strip() or f"column_{i}" for i, name in enumerate(names, 1)])
 
 
+def readable_path(uri: str) -> str:
+    """The path behind a file's URI, with glob characters escaped, to be read as it is."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(uri))
+
+
 def ingest(spark: SparkSession, path: str, extracted_at: datetime) -> DataFrame:
     """All admitted files as one table with canonical columns.
 
@@ -120,7 +127,7 @@ def ingest(spark: SparkSession, path: str, extracted_at: datetime) -> DataFrame:
             & (F.col("encoding") == encoding)
             & (F.col("multi_line") == multi_line)
         )
-        paths = [row.file for row in alike.select("file").toLocalIterator()]
+        paths = [readable_path(row.file) for row in alike.select("file").toLocalIterator()]
         part = read_csv(spark, paths, header_names(header), encoding, multi_line)
         # Files may carry their own provenance; the names read here take its place.
         part = canonicalise(part).drop(*PROVENANCE_COLUMNS)
