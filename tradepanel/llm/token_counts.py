@@ -15,9 +15,8 @@ counts of pieces in a table of bounded size.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from itertools import accumulate, chain
 
-import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
@@ -27,6 +26,7 @@ from .common import Bounded, file_bytes
 from .tokenizer_files import WHITE_SPACE, TokenizerFile
 
 KEPT_WORDS = 300_000
+KEPT_TOTALS = 1_000_000
 KEPT_CHARS = 64
 #: Parts of contractions that are no piece of their own (from the fixed pattern).
 CUT_CONTRACTIONS = ("'r", "'v", "'l")
@@ -44,7 +44,9 @@ class PrefixCounter:
         self.chunk = re.compile(f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
         self.right_edges: dict[int, list[tuple[int, int]]] = {}
         self.left_edges: dict[int, list[tuple[int, int]]] = {}
+        self.apart = Bounded(lambda pair: self.beside(*pair), KEPT_WORDS)
         self.chunks = Bounded(self._chunk_counts, KEPT_WORDS)
+        self.totals = Bounded(self._chunk_total, KEPT_TOTALS)
         self.pieces = Bounded(self._piece_counts, KEPT_WORDS)
 
     def _edge(self, token: int, side: int, known: dict) -> list[tuple[int, int]]:
@@ -77,14 +79,26 @@ class PrefixCounter:
                 j += 1
 
     def byte_counts(self, data: bytes) -> list[int]:
-        """Tokens of each prefix of a piece, by bytes."""
-        counts, last = [0], [-1]
+        """Tokens of each prefix of a piece, by bytes.
+
+        Only one token can end a prefix, so the order of trials is free: first the
+        token that ended the prefix before, made longer, then later starts, then
+        earlier ones.
+        """
+        counts, last, begun = [0], [-1], 0
+        token_of, apart = self.tokens.get, self.apart
         for end in range(1, len(data) + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = self.tokens.get(data[start:end])
-                if token is not None and (start == 0 or self.beside(last[start], token)):
+            token = token_of(data[begun:end])
+            if token is not None and (begun == 0 or apart[last[begun], token]):
+                counts.append(counts[begun] + 1)
+                last.append(token)
+                continue
+            for start in chain(range(begun + 1, end), range(begun - 1, max(0, end - self.longest) - 1, -1)):
+                token = token_of(data[start:end])
+                if token is not None and (start == 0 or apart[last[start], token]):
                     counts.append(counts[start] + 1)
                     last.append(token)
+                    begun = start
                     break
             else:
                 raise ValueError(f"no token ends {data[:end]!r}")
@@ -95,7 +109,7 @@ class PrefixCounter:
         data = piece.encode("utf-8", "replace")
         counts = self.byte_counts(data)
         if len(data) != len(piece):
-            counts = [0] + [counts[at] for at in np.cumsum([len(c.encode("utf-8", "replace")) for c in piece])]
+            counts = [0] + [counts[at] for at in accumulate(len(c.encode("utf-8", "replace")) for c in piece)]
         if piece[:2] in CUT_CONTRACTIONS and len(piece) == 3:
             counts[2] = 2
         return tuple(counts)
@@ -103,11 +117,16 @@ class PrefixCounter:
     def _chunk_counts(self, chunk: str) -> tuple[int, ...]:
         counts = [0]
         for piece in self.piece.findall(chunk):
-            known = self.pieces[piece] if len(piece) <= KEPT_CHARS else self._piece_counts(piece)
             before = counts[-1]
-            counts += [before + n for n in known[1:]]
+            counts += [before + n for n in self._piece(piece)[1:]]
         return tuple(counts)
 
+    def _chunk_total(self, chunk: str) -> int:
+        return sum([self._piece(piece)[-1] for piece in self.piece.findall(chunk)])
+
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        return self.pieces[piece] if len(piece) <= KEPT_CHARS else self._piece_counts(piece)
+
     def _chunk(self, chunk: str) -> tuple[int, ...]:
         return self.chunks[chunk] if len(chunk) <= KEPT_CHARS else self._chunk_counts(chunk)
 
@@ -117,8 +136,12 @@ class PrefixCounter:
         for at, part in enumerate(self.file.parts(text)):
             if at % 2:
                 count += 1
+                continue
+            chunks = self.chunk.findall(part)
+            if len(part) > KEPT_CHARS * len(chunks):
+                count += sum([self.totals[c] if len(c) <= KEPT_CHARS else self._chunk_total(c) for c in chunks])
             else:
-                count += sum([self._chunk(c)[-1] for c in self.chunk.findall(part)])
+                count += sum(map(self.totals.__getitem__, chunks))
         return count
 
     def prefixes(self, text: str) -> list[int]:
