@@ -24,6 +24,10 @@ def values(df, column):
         ("abc", 0.0),
         ("1.2.3", 0.0),
         ("12-3", 0.0),
+        ("US$ 1.25E7", 12_500_000.0),
+        ("2,500e-2 ", 25.0),
+        ("7 EUR", 7.0),
+        ("1e30", 1e30),
         (None, 0.0),
     ],
 )

@@ -1,6 +1,7 @@
 """Files with mixed encodings, headers and layouts."""
 
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -99,6 +100,18 @@ def test_gdp_pages(spark, tmp_path):
     ]
 
 
+def test_newest_fetch_of_a_year_counts(spark, tmp_path):
+    fetches = [("b", 1_000, 1.0), ("a", 2_000, 2.0), ("c", 1_500, 3.0)]
+    for name, time, value in fetches:
+        page = tmp_path / f"{name}.json"
+        page.write_text(json.dumps([{"page": 1}, [record("USA", 2023, value), record("CHL", 2023 + time, value)]]))
+        os.utime(page, (time, time))
+    rows = gdp_files.read_newest_gdp(spark, str(tmp_path))
+    assert rows.columns == gdp_files.read_gdp(spark, str(tmp_path)).columns
+    assert [r.gdp_value for r in rows.where("country_code = 'USA'").collect()] == [2.0]
+    assert rows.where("country_code = 'CHL'").count() == 3
+
+
 def test_years_stop_at_the_first_full_one(spark):
     years = [2024] * 2 + [2023] * 5 + [2022] * 9
     df = spark.createDataFrame([(y, i) for i, y in enumerate(years)], "year INT, n INT")

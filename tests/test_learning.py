@@ -92,6 +92,14 @@ def test_predictions_have_their_errors(trained):
         assert row.percentage_error == pytest.approx(row.absolute_error / row.actual_gdp * 100)
 
 
+def test_rows_with_missing_features_are_predicted(trained, table):
+    name = LAGGED_FEATURES[0]
+    holes = table.withColumn(name, F.when(F.col("year") % 2 == 0, F.col(name)))
+    zeros = table.withColumn(name, F.when(F.col("year") % 2 == 0, F.col(name)).otherwise(F.lit(0)))
+    found, wanted = (sorted(L.predict(trained.model, x).collect()) for x in (holes, zeros))
+    assert len(found) == table.count() and found == wanted
+
+
 def test_training_needs_enough_rows(table):
     with pytest.raises(ValueError):
         L.train(table.limit(49), **SMALL)

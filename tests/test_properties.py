@@ -75,6 +75,8 @@ def test_exact_totals(spark):
 def test_amounts_far_beyond_the_declared_limit_are_summed(spark):
     df = spark.createDataFrame([(1e20,), (1e20,)], "v DOUBLE")
     assert df.agg(total(F.col("v"))).first()[0] == 2e20
+    more = spark.createDataFrame([(9e29,), (0.1,), (0.2,), (None,)], "v DOUBLE")
+    assert more.agg(total(F.col("v"))).first()[0] == 9e29
 
 
 def test_seeding_twice_adds_nothing(tables):

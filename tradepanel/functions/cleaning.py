@@ -10,6 +10,7 @@ from ..constants import OTHER, REGION_GROUPS, SIZE_BANDS, SMALLEST_SIZE
 
 ACCENTED = "ÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇáàâäãåéèêëíìîïóòôöõúùûüñç"
 PLAIN = "AAAAAAEEEEIIIIOOOOOUUUUNCaaaaaaeeeeiiiiooooouuuunc"
+EXPONENT = r"(?<=[0-9.])[eE][+-]?[0-9]+(?=\s*$)"
 
 
 def named(name: str) -> Column:
@@ -25,13 +26,18 @@ def number_or_null(column: Column) -> Column:
 def amount_or_null(df: DataFrame, name: str) -> Column:
     """Text without currency signs and separators, as a number with its sign.
 
-    A column that is a number already is cast, never spelled out first: 1.25E7
-    would lose its exponent.
+    An exponent at the end counts. A column that is a number already is cast, never
+    spelled out first.
     """
     if isinstance(df.schema[name].dataType, T.NumericType):
         return named(name).cast("double")
-    digits = F.regexp_replace(named(name).cast("string"), r"[^0-9.\-]+", "")
-    return digits.try_cast("double")
+    text = named(name).cast("string")
+
+    def digits(c):
+        return F.regexp_replace(c, r"[^0-9.\-]+", "")
+
+    scaled = F.concat(digits(F.regexp_replace(text, EXPONENT, "")), F.regexp_extract(text, EXPONENT, 0))
+    return F.when(text.rlike(EXPONENT), scaled).otherwise(digits(text)).try_cast("double")
 
 
 def amount(df: DataFrame, name: str) -> Column:

@@ -13,6 +13,7 @@ from pyspark.ml.feature import (
     StandardScalerModel,
     StringIndexer,
     StringIndexerModel,
+    SQLTransformer,
     VectorAssembler,
 )
 from pyspark.ml.regression import GBTRegressor
@@ -44,9 +45,18 @@ def split(df: DataFrame, *key: str, tenths: int = 8) -> tuple[DataFrame, DataFra
 
 
 def assembler(features) -> VectorAssembler:
-    """M1: each feature once."""
+    """M1: each feature once. A missing value is an error: no row is left out."""
     return VectorAssembler(
-        inputCols=list(dict.fromkeys(features)), outputCol="features", handleInvalid="skip"
+        inputCols=list(dict.fromkeys(features)), outputCol="features", handleInvalid="error"
+    )
+
+
+def filler(features) -> SQLTransformer:
+    """M1: missing features count as 0, in training, tuning and scoring alike."""
+    names = [f"`{name}`" for name in dict.fromkeys(features)]
+    filled = [f"coalesce(nanvl(double({name}), 0), 0) AS {name}" for name in names]
+    return SQLTransformer(
+        statement=f"SELECT * EXCEPT ({', '.join(names)}), {', '.join(filled)} FROM __THIS__"
     )
 
 
@@ -58,7 +68,7 @@ def scaler() -> StandardScaler:
 
 
 def scaling(df: DataFrame, features) -> StandardScalerModel:
-    return scaler().fit(assembler(features).transform(df))
+    return scaler().fit(assembler(features).transform(filler(features).transform(df)))
 
 
 def scaling_table(df: DataFrame, features) -> DataFrame:
@@ -91,8 +101,8 @@ def booster(**settings) -> GBTRegressor:
 
 
 def regression(features, **settings) -> Pipeline:
-    """M5: one object holds the feature list, the scaling and the trees."""
-    return Pipeline(stages=[assembler(features), scaler(), booster(**settings)])
+    """M5: one object holds the feature list, the filling, the scaling and the trees."""
+    return Pipeline(stages=[filler(features), assembler(features), scaler(), booster(**settings)])
 
 
 def evaluator(metric: str = "r2") -> RegressionEvaluator:
@@ -113,7 +123,7 @@ def metrics(predictions: DataFrame) -> DataFrame:
 
 def importances(model: PipelineModel, spark: SparkSession) -> DataFrame:
     """One row per feature, as many as the feature list is long."""
-    names = model.stages[0].getInputCols()
+    names = model.stages[1].getInputCols()
     weights = model.stages[-1].featureImportances.toArray()
     return spark.createDataFrame(
         [(name, float(weight)) for name, weight in zip(names, weights)], IMPORTANCES

@@ -35,8 +35,8 @@ def valid_records(records: DataFrame) -> DataFrame:
     return records.filter(filled("value") & filled("country.value") & filled("countryiso3code"))
 
 
-def project_records(records: DataFrame) -> DataFrame:
-    """Flat, typed columns."""
+def project_records(records: DataFrame, *others: str) -> DataFrame:
+    """Flat, typed columns, and others that are to stay."""
     return records.select(
         F.col("countryiso3code").alias("country_code"),
         F.col("country.value").alias("country_name"),
@@ -44,6 +44,7 @@ def project_records(records: DataFrame) -> DataFrame:
         F.col("indicator.value").alias("indicator_name"),
         F.col("date").try_cast("int").alias("year"),
         F.col("value").try_cast("double").alias("gdp_value"),
+        *others,
     )
 
 

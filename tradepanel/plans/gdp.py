@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import panel, quality
-from ..sources.gdp_files import read_gdp
+from ..sources.gdp_files import read_newest_gdp
 from ..sources.tables import read_table, replace_partitions, write_table
 
 
 def run(spark: SparkSession, landing: str, warehouse: str, run_at: datetime) -> DataFrame:
-    """The incoming years replace those stored; ranks and growth are then computed
+    """The incoming years replace those stored, of a record fetched twice the newest; ranks and growth are then computed
     over all stored years. Returns the checks."""
-    records = read_gdp(spark, landing).withColumn("extraction_date", F.lit(run_at))
+    records = read_newest_gdp(spark, landing).withColumn("extraction_date", F.lit(run_at))
     stored = replace_partitions(records, f"{warehouse}/gdp_records")
     built = panel.with_audit(panel.build_panel(read_table(spark, stored)), run_at)
     write_table(built, f"{warehouse}/gdp_panel", by="year")

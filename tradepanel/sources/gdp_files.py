@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.panel import project_records, valid_records
 from ..schemas import GDP_RECORDS
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
+def read_records(spark: SparkSession, path: str, *page_columns: Column) -> DataFrame:
     """The records of pages of the form ``[meta, [record, ...]]``.
 
     A page is one file of at most some hundred records, so it is read whole. A
@@ -19,7 +19,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     """
     pages = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path)
     records = F.from_json(F.get_json_object("value", "$[1]"), GDP_RECORDS)
-    return pages.select(F.inline(records))
+    return pages.select(*page_columns, F.inline(records))
 
 
 def read_gdp(spark: SparkSession, path: str) -> DataFrame:
@@ -27,6 +27,21 @@ def read_gdp(spark: SparkSession, path: str) -> DataFrame:
     return project_records(valid_records(read_records(spark, path)))
 
 
+def read_newest_gdp(spark: SparkSession, path: str) -> DataFrame:
+    """Valid records, one per country, indicator and year.
+
+    A year that was fetched several times has the record of the newest page; the path
+    and then the values decide between pages of one time.
+    """
+    key = ("country_code", "indicator_code", "year")
+    file = F.struct("_metadata.file_modification_time", "_metadata.file_path")
+    records = read_records(spark, path, file.alias("page"))
+    flat = project_records(valid_records(records), "page")
+    others = [name for name in flat.columns if name not in key and name != "page"]
+    newest = flat.groupBy(*key).agg(F.max(F.struct("page", *others)).alias("newest"))
+    return newest.select(*key, *[f"newest.{name}" for name in others]).select(*flat.drop("page").columns)
+
+
 def append_years(parts: list[DataFrame]) -> DataFrame:
     """The batches of several years as one."""
     return reduce(DataFrame.unionByName, parts)
