@@ -138,7 +138,7 @@ def test_tuning_table(table, spark):
     assert L.best_settings(tuned)["maxIter"] == best.settings["maxIter"]
 
 
-def test_jobs_from_files_to_predictions(spark, tables, tmp_path):
+def test_jobs_from_files_to_predictions(spark, tables, tmp_path, monkeypatch):
     from tradepanel.catalog.files import landed
 
     warehouse = f"{tmp_path}/warehouse"
@@ -173,6 +173,12 @@ def test_jobs_from_files_to_predictions(spark, tables, tmp_path):
     assert made.count() == 2 and board.validate_predictions(made).first().total_predictions == 2
     types = dict(board.exports.dtypes)
     assert (types["YEAR"], types["MES"], types["DIA"]) == ("int", "int", "int")
+    active = board.get_active_model_info().first()
+    assert (active.model_version, active.data_period) == (version, "2020-2024")
+    failed = spark.createDataFrame([("FAILED",)], "validation_status STRING")
+    monkeypatch.setattr(L, "check_deployment", lambda path, table: failed)
+    with pytest.raises(RuntimeError):
+        training_job.run(spark, warehouse, AT + timedelta(days=1), maxIter=1)
     assert board.get_active_model_info().first().model_version == version
     assert board.get_predictions().count() == 60
     assert board.get_predictions([2024], ["CHL"]).count() == 1

@@ -24,7 +24,6 @@ from pyspark.sql.window import Window
 
 from ..constants import (
     BOOSTING,
-    DATA_PERIOD,
     FULL_GRID,
     LAGGED_FEATURES,
     MODEL_NAME,
@@ -284,13 +283,14 @@ def save(result: Trained, folder: str, at: datetime, settings: dict | None = Non
 
 
 def registry_row(metadata: DataFrame, table: DataFrame) -> DataFrame:
-    """What the registry keeps of one training run."""
+    """What the registry keeps of one training run, with the years of its table."""
     countries = table.agg(F.countDistinct("country_code")).scalar()
+    period = table.agg(F.concat_ws("-", F.min("year"), F.max("year"))).scalar()
     return metadata.select(
         "model_name", "model_version", "model_type",
         F.to_timestamp("training_date").alias("training_date"),
         F.element_at("performance_metrics", "r2_score").alias("accuracy_score"),
-        "feature_names", "model_path", F.lit(DATA_PERIOD).alias("data_period"),
+        "feature_names", "model_path", period.alias("data_period"),
         countries.alias("countries_count"), "training_samples", "test_samples",
     )
 

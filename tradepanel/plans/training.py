@@ -16,7 +16,10 @@ def run(
     spark: SparkSession, warehouse: str, run_at: datetime, features=LAGGED_FEATURES,
     grid: dict | None = None, **settings,
 ) -> str:
-    """Train on the stored tables; with a grid, tune first. Returns the version."""
+    """Train on the stored tables; with a grid, tune first. Returns the version.
+
+    A model that fails the deployment check is an error and is not registered.
+    """
     panel = read_table(spark, f"{warehouse}/gdp_panel")
     exports = read_table(spark, f"{warehouse}/exports")
     write_table(feature_tables.short_features(panel, exports), f"{warehouse}/training_table")
@@ -28,8 +31,10 @@ def run(
     models = f"{warehouse}/models"
     version = learning.save(result, models, run_at, settings)
     metadata = learning.read_metadata(spark, models, version)
+    check = learning.check_deployment(f"{models}/model_{version}", table).first()
+    if check.validation_status != "PASSED":
+        raise RuntimeError(f"model {version} gives no finite prediction; it is not registered")
     append_table(learning.registry_row(metadata, table), f"{warehouse}/model_registry")
-    learning.check_deployment(f"{models}/model_{version}", table).first()
     predictions = learning.predict(result.model, table)
     append_table(
         learning.as_model_predictions(predictions, version, run_at),
