@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from tradepanel.catalog import QUERIES
 
 UNWANTED = (
     "CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -12,7 +12,7 @@ UNWANTED = (
 )
 # Queries whose only work is reading back files or models they have just written.
 WRITTEN = re.compile(r"^(s\d|x1|m\d|o4|m_)")
-PLANNED = sorted(name for name in queries() if not WRITTEN.match(name))
+PLANNED = sorted(name for name in QUERIES if not WRITTEN.match(name))
 
 
 def plan(df) -> str:
@@ -25,7 +25,7 @@ def optimised(df) -> str:
 
 @pytest.mark.parametrize("name", PLANNED)
 def test_no_unwanted_operator(spark, sf_dir, name):
-    found = plan(queries()[name](spark, sf_dir))
+    found = plan(QUERIES[name](spark, sf_dir))
     assert not [word for word in UNWANTED if word in found]
 
 
