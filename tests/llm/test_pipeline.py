@@ -1,5 +1,7 @@
 """The stages of the pipeline, each on its own input."""
 
+import re
+
 import corpus_pipeline
 from tradepanel.llm import near_dedup, quality
 
@@ -27,3 +29,17 @@ def test_documents_without_labels_stay(spark, sf_dir, tmp_path):
     spark.read.parquet(f"{sf_dir}/labels.parquet").where("false").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.good_documents(spark, docs, str(tmp_path)).count() == docs.count()
     assert quality.THRESHOLD == 0.3
+
+
+def test_line_dedup_takes_short_copies(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    after = corpus_pipeline.distinct_lines(spark, docs, sf_dir).collect()
+    lines = [tuple(w for w in re.split(r"[ \t-\r]+", x.lower()) if w) for r in after if r.text for x in r.text.split("\n")]
+    lines = [x for x in lines if x]
+    assert len(lines) == len(set(lines))
+    rows = [(1, "All rights reserved.\n\nfirst"), (2, "all  RIGHTS reserved.\n\nsecond"), (3, "All rights kept."), (4, "First")]
+    small = docs.limit(0).unionByName(
+        spark.createDataFrame(rows, "doc_id bigint, text string"), allowMissingColumns=True
+    )
+    found = {r.doc_id: r.text for r in corpus_pipeline.distinct_lines(spark, small, sf_dir).collect()}
+    assert found == {1: rows[0][1], 2: "\nsecond", 3: "All rights kept."}

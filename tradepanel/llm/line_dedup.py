@@ -4,8 +4,9 @@ Lines are compared as lower-cased words; two are near if one word inserted, dele
 or replaced makes them equal (edit bound 1). A line goes if an earlier one, in order
 of (doc_id, line number), is equal or near.
 
-1. Equal lines meet by a 128-bit hash; the earliest of them stands for all.
-2. A single edit leaves one half of the words as it was. Lines whose halves no other
+1. Equal lines of any length meet by a 128-bit hash; the earliest of them stands for all.
+   Only lines without a word are never compared.
+2. Of lines of ``MIN_WORDS`` words or more, near ones are looked for. A single edit leaves one half of the words as it was. Lines whose halves no other
    line has are done; only the rest go on, so few lines emit variants.
 3. Each of these emits itself and all variants with one word deleted, as hashed keys:
    words are hashed with their place and combined by XOR, so that running XORs from
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import stored
 from .common import let, marked_present, running
 
-#: Lines of fewer words are kept: headings and short answers repeat by nature.
+#: Lines of fewer words are compared for equality only: one edit of few words says little.
 MIN_WORDS = 8
 LINE = "line"
 
@@ -36,8 +37,8 @@ def line_words(line: Column) -> Column:
     return F.filter(F.split(F.lower(line), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
-def _lines(rows: DataFrame, min_words: int) -> DataFrame:
-    """Lines that take part: place, hash of the words, hashes of halves."""
+def _lines(rows: DataFrame, min_words: int, equal_words: int) -> DataFrame:
+    """Lines that take part: place, hash of the words, hashes of halves (null in short lines)."""
     lines = rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
     def facts(words: Column) -> Column:
@@ -58,10 +59,11 @@ def _lines(rows: DataFrame, min_words: int) -> DataFrame:
             F.xxhash64(words).alias("h"),
             F.xxhash64(F.lit(1), words).alias("g"),
             F.when(size >= min_words, F.array_distinct(halves)).alias("halves"),
+            size.alias("size"),
         )
 
-    found = lines.withColumn("f", let(line_words(F.col("line")), facts)).where(F.col("f.halves").isNotNull())
-    return found.select("doc_id", "line_no", "f.*")
+    found = lines.withColumn("f", let(line_words(F.col("line")), facts)).where(F.col("f.size") >= min(min_words, equal_words))
+    return found.select("doc_id", "line_no", "f.h", "f.g", "f.halves")
 
 
 def _variants(words: Column) -> Column:
@@ -129,16 +131,19 @@ def _within_one_edit(a: Column, b: Column) -> Column:
     return common(a, b) + common(F.reverse(a), F.reverse(b)) >= F.greatest(F.size(a), F.size(b)) - 1
 
 
-def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, near: bool = True) -> DataFrame:
+def repeated_lines(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, near: bool = True, equal_words: int = 1
+) -> DataFrame:
     """(doc_id, line_no, keeper_doc_id, keeper_line_no, edits): the lines that go.
 
     ``keeper`` is the earliest line that is equal (edits 0) or, if that is earlier,
     near (edits 1). Lines count from 0 and end at line feeds. Lines of fewer than
-    ``min_words`` words stay. Repeated rows of one document are that document; a row
+    ``min_words`` words have no near ones, and those of fewer than ``equal_words``
+    (and ``min_words``) no equal ones either; a line without a word stays. Repeated rows of one document are that document; a row
     without a doc_id is left as it is. Empty texts and tables give no rows.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null and text is not null")
-    lines = stored(_lines(rows, min_words), "lines")
+    lines = stored(_lines(rows, min_words, max(1, equal_words)), "lines")
     repeated = lines.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h")
     place = F.struct("doc_id", "line_no")
     if near:

@@ -85,9 +85,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with the lines that go, each with its keeper, and what stays."""
+    """Every document with the lines that go, each with its keeper, and what stays.
+
+    The check SQL leaves out lines of fewer than eight words, so this query does too.
+    """
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    found = line_dedup.without_repeated_lines(docs)
+    found = line_dedup.without_repeated_lines(docs, equal_words=line_dedup.MIN_WORDS)
     entry = F.transform(
         "dropped", lambda d: F.concat_ws(":", d.line_no, d.keeper_doc_id, d.keeper_line_no, d.edits)
     )
