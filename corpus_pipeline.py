@@ -14,6 +14,8 @@ from tradepanel.llm import bpe, decontamination, line_dedup, near_dedup, quality
 from tradepanel.llm.common import documents
 from tradepanel.sources.tables import stored
 
+#: Similarity of near-duplicates, in hundredths (query op2 has 85 from its contract).
+NEAR_PERCENT = 80
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -46,12 +48,12 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: of near-duplicates the document with the smallest id stays.
+    """Operator 2: of near-duplicates (0.8 or more) the document with the smallest id stays.
 
     Repeated rows of a kept document are one row. Rows without a doc_id stay if no
     row with an id is in their component.
     """
-    found = near_dedup.near_duplicates(docs)
+    found = near_dedup.near_duplicates(docs, percent=NEAR_PERCENT)
     gone = stored(found.where("not kept and doc_id is not null").select("doc_id").distinct(), "near-copies")
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 

@@ -43,3 +43,18 @@ def test_line_dedup_takes_short_copies(spark, sf_dir):
     )
     found = {r.doc_id: r.text for r in corpus_pipeline.distinct_lines(spark, small, sf_dir).collect()}
     assert found == {1: rows[0][1], 2: "\nsecond", 3: "All rights kept."}
+
+
+def test_near_documents_from_four_fifths_go(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    words = [f"w{i}" for i in range(104)]
+    near = words[:10] + ["x"] + words[11:60] + ["y"] + words[61:]  # 90 of 110 shingles shared
+    far = words[:10] + ["x"] + words[11:40] + ["y"] + words[41:70] + ["z"] + words[71:]  # 85 of 115
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far).replace("w", "v")), (4, " ".join(words).replace("w", "v"))]
+    small = docs.limit(0).unionByName(spark.createDataFrame(rows, "doc_id bigint, text string"), allowMissingColumns=True)
+    after = corpus_pipeline.distinct_documents(spark, docs, sf_dir)
+    sets = [set(near_dedup.shingle_set(r.text).tolist()) for r in after.collect()]
+    sets = [s for s in sets if s]
+    assert not any(100 * len(a & b) >= 80 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    found = corpus_pipeline.distinct_documents(spark, small, sf_dir).collect()
+    assert sorted(r.doc_id for r in found) == [1, 3, 4]
