@@ -20,7 +20,7 @@ from tradepanel.llm import (
     sharding,
     token_counts,
 )
-from tradepanel.llm.queries import BYTE_BPE, WORD_BPE
+from tradepanel.llm.queries import BYTE_BPE, QUERIES, WORD_BPE
 
 LINE = "one two three four five six seven eight nine ten"
 LONG = " ".join(f"word{i}" for i in range(30_000))
@@ -237,5 +237,32 @@ def test_chat(spark):
     assert [(a.uri, a.tokens) for a in found[2].attachments] == [("f.png", 4 * 256)] and found[2].attachment_tokens == 1024
 
 
+def test_chat_of_one_conversation_in_stretches(spark):
+    rows = [(None, i if i % 3 else None, "user" if i % 2 else "assistant", f"text {i % 100}") for i in range(1000)]
+    rows += [(1 << 60, 5, "assistant", f"t{i}") for i in range(300)] + [((1 << 60) + 1, 0, None, None)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
+    turns = turns.withColumn("content", chat.text_part(F.col("text")))
+    stretches = chat.format_stretches(turns).collect()
+    assert all(r.formatted.count("<|turn|>") <= chat.STRETCH for r in stretches)
+    whole = {r.conv_id: r.formatted for r in chat.format_conversations(turns).collect()}
+    pieces = sorted(stretches, key=lambda r: r.stretch)
+    assert whole == {i: "".join(r.formatted for r in pieces if r.conv_id == i) for i in whole}
+    digests = chat.conversation_digests(turns)
+    plan = digests._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "ObjectHashAggregate" not in plan
+    found = {r.conv_id: tuple(r)[1:] for r in digests.collect()}
+    assert found == {i: chat._read(text) for i, text in whole.items()}
+    for conv_id in whole:
+        said = sorted(((t if t is not None else -(1 << 63)), r or "", x or "") for i, t, r, x in rows if i == conv_id)
+        wanted = hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in said).encode()).hexdigest()
+        assert found[conv_id][:2] == (len(said), wanted)
+    assert chat.conversation_digests(turns.where("false")).count() == 0
+
+
+def test_op9_gathers_no_conversation(spark, sf_dir):
+    plan = QUERIES["op9_chat"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
+
+
 def test_vocabularies_are_public():
     assert WORD_BPE == public_tokenizers.path("word_bpe_49k.json")

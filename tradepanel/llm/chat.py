@@ -8,19 +8,22 @@ The template marks turns with control strings that begin with ``<|``. In texts a
 roles, every ``<`` that backslashes and ``|`` follow gets one more backslash, so no
 text can hold a control string, and taking one backslash away gives the text back.
 
-Turns are formatted row by row. Only short rows meet in one task by conversation:
-first stretches of turns, then the stretches of a conversation, whose formatted text
-is one value in any case.
+Turns are formatted row by row and numbered in their order. ``format_stretches`` puts
+together at most ``STRETCH`` of them in a row, whatever their turns say, and
+``conversation_digests`` reads sorted turns as a stream and holds one of them at a
+time, so neither needs a conversation in memory. Only ``format_conversations`` makes
+one value of a conversation, for those that a row can hold.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Turns that are put together first.
@@ -115,41 +118,61 @@ def flatten(content: Column) -> tuple[Column, Column]:
     return text, attachments
 
 
+def _formatted(role: Column, text: Column) -> Column:
+    return F.concat(F.lit("<|turn|>"), role, F.lit("\n"), text, F.lit("<|end|>\n"))
+
+
 def format_turns(turns: DataFrame) -> DataFrame:
     """(conv_id, turn, role, content) with ``formatted`` and ``attachments`` added."""
     text, attachments = flatten(F.col("content"))
     role = escaped_role(F.coalesce(F.col("role"), F.lit("")))
-    return turns.withColumns(
-        {
-            "formatted": F.concat(F.lit("<|turn|>"), role, F.lit("\n"), text, F.lit("<|end|>\n")),
-            "attachments": attachments,
-        }
+    return turns.withColumns({"formatted": _formatted(role, text), "attachments": attachments})
+
+
+def _ordered_by(turns: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text, attachments), escaped: the columns that turns are ordered by."""
+    text, attachments = flatten(F.col("content"))
+    return turns.select(
+        "conv_id",
+        F.coalesce("turn", F.lit(-(1 << 63))).alias("turn"),
+        escaped_role(F.coalesce(F.col("role"), F.lit(""))).alias("role"),
+        text.alias("text"),
+        attachments.alias("attachments"),
     )
 
 
-def format_conversations(turns: DataFrame) -> DataFrame:
-    """One row per conversation: its formatted text, attachments and expanded tokens.
+def format_stretches(turns: DataFrame) -> DataFrame:
+    """(conv_id, stretch, formatted, attachments): conversations in pieces of bounded rows.
 
     Input: conv_id, turn, role and content (a list of parts); other columns are left
     out. Turns stand in order of turn (null first); equal turns by role and text, so
     repeated rows are kept and the order is the same on every run. A null role or
     text is an empty one. Rows without conv_id make up one conversation of id null.
+    Stretches count from 0 and hold ``STRETCH`` turns by number of row; their texts
+    one after the other are the formatted conversation.
     """
-    ordered = format_turns(turns.select("conv_id", "turn", "role", "content")).withColumn(
-        "stretch", F.floor(F.col("turn") / STRETCH)
-    )
-    stretches = ordered.groupBy("conv_id", "stretch").agg(
-        F.array_sort(F.collect_list(F.struct(F.coalesce("turn", F.lit(-(1 << 63))).alias("turn"), "formatted", "attachments"))).alias("rows")
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text", "attachments")
+    ordered = _ordered_by(turns).withColumn("number", F.row_number().over(order) - 1)
+    ordered = ordered.withColumn("formatted", _formatted(F.col("role"), F.col("text")))
+    stretches = ordered.groupBy("conv_id", F.floor(F.col("number") / STRETCH).alias("stretch")).agg(
+        F.array_sort(F.collect_list(F.struct("number", "turn", "formatted", "attachments"))).alias("rows")
     )
-    joined = stretches.select(
+    return stretches.select(
         "conv_id",
-        F.struct(
-            F.coalesce("stretch", F.lit(-(1 << 62))).alias("stretch"),
-            F.array_join(F.transform("rows", lambda r: r.formatted), "").alias("formatted"),
-            F.flatten(F.transform("rows", lambda r: F.transform(r.attachments, lambda a: F.struct(r.turn.alias("turn"), a.number, a.type, a.uri, a.tokens)))).alias("attachments"),
-        ).alias("part"),
+        "stretch",
+        F.array_join(F.transform("rows", lambda r: r.formatted), "").alias("formatted"),
+        F.flatten(F.transform("rows", lambda r: F.transform(r.attachments, lambda a: F.struct(r.turn.alias("turn"), a.number, a.type, a.uri, a.tokens)))).alias("attachments"),
     )
-    whole = joined.groupBy("conv_id").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+
+
+def format_conversations(turns: DataFrame) -> DataFrame:
+    """One row per conversation: its formatted text, attachments and expanded tokens.
+
+    Input and order as in ``format_stretches``. A conversation is one value here, at
+    most 2 GB; for longer ones there are the stretches.
+    """
+    part = F.struct("stretch", "formatted", "attachments")
+    whole = format_stretches(turns).groupBy("conv_id").agg(F.array_sort(F.collect_list(part)).alias("parts"))
     attachments = F.flatten(F.col("parts.attachments"))
     return whole.select(
         "conv_id",
@@ -174,15 +197,36 @@ def loss_spans(formatted: str) -> list[tuple[int, int]]:
 READ_BACK = "n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
 
 
-def _read(formatted: str) -> tuple[int, str, int, str, int]:
-    turns = turns_of(formatted)
-    said = "".join(f"{role}\n{text}\n" for role, text, _, _ in turns)
-    loss = "".join(unescaped(formatted[a:b]) for a, b in loss_spans(formatted))
-    return len(turns), _sha256(said), len(loss), _sha256(loss), len(formatted)
+class _Reading:
+    """What formatted text says of its turns and its loss mask, read piece by piece."""
+
+    def __init__(self):
+        self.turns = self.loss_chars = self.chars = 0
+        self.said, self.loss = hashlib.sha256(), hashlib.sha256()
+
+    def add(self, formatted: str) -> None:
+        """One or more whole turns."""
+        for role, text, _, _ in turns_of(formatted):
+            self.turns += 1
+            self.said.update(f"{role}\n{text}\n".encode("utf-8", "replace"))
+        for start, end in loss_spans(formatted):
+            text = unescaped(formatted[start:end])
+            self.loss_chars += len(text)
+            self.loss.update(text.encode("utf-8", "replace"))
+        self.chars += len(formatted)
 
+    def found(self) -> tuple:
+        return self.turns, self.said.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
 
-def _sha256(text: str) -> str:
-    return hashlib.sha256(text.encode("utf-8", "replace")).hexdigest()
+
+def _read(formatted: str) -> tuple:
+    reading = _Reading()
+    reading.add(formatted)
+    return reading.found()
+
+
+def _fields() -> list[str]:
+    return [field.split()[0] for field in READ_BACK.split(", ")]
 
 
 def read_back() -> Callable[[Column], Column]:
@@ -190,7 +234,48 @@ def read_back() -> Callable[[Column], Column]:
 
     @F.pandas_udf(READ_BACK)
     def of(formatted: pd.Series) -> pd.DataFrame:
-        names = [field.split()[0] for field in READ_BACK.split(", ")]
-        return pd.DataFrame([_read(x) for x in formatted], columns=names)
+        return pd.DataFrame([_read(x) for x in formatted], columns=_fields())
 
     return of
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per conversation; its turns come one after the other."""
+    names, done, reading = ["conv_id", *_fields()], [], None
+    own, kind = None, pa.null()
+
+    def rows() -> pa.RecordBatch:
+        values = [pa.array([r[0] for r in done], kind)]
+        for k in range(1, len(names)):
+            values.append(pa.array([r[k] for r in done], pa.string() if names[k].endswith("sha256") else pa.int64()))
+        return pa.RecordBatch.from_arrays(values, names)
+
+    for batch in batches:
+        kind = batch.schema.field("conv_id").type
+        for i in range(batch.num_rows):
+            conv_id = batch.column("conv_id")[i].as_py()
+            if reading is None or conv_id != own:
+                if reading is not None:
+                    done.append((own, *reading.found()))
+                own, reading = conv_id, _Reading()
+            reading.add(batch.column("formatted")[i].as_py())
+        if done:
+            yield rows()
+            done = []
+    if reading is not None:
+        done.append((own, *reading.found()))
+        yield rows()
+
+
+def conversation_digests(turns: DataFrame) -> DataFrame:
+    """``read_back`` of every formatted conversation, without putting it together.
+
+    Input and order as in ``format_stretches``. The turns of a conversation are sorted
+    within one partition, since a digest takes them one after the other; the sort
+    spills to disk, and the stream holds one batch.
+    """
+    ordered = _ordered_by(turns).drop("attachments").repartition("conv_id")
+    ordered = ordered.sortWithinPartitions("conv_id", "turn", "role", "text")
+    kind = turns.schema["conv_id"].dataType.simpleString()
+    formatted = _formatted(F.col("role"), F.col("text")).alias("formatted")
+    return ordered.select("conv_id", formatted).mapInArrow(_digests, f"conv_id {kind}, {READ_BACK}")

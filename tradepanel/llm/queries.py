@@ -128,8 +128,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(said).alias("text"),
     )
     turns = rows.unionByName(own).withColumn("content", chat.text_part(F.col("text")))
-    formatted = chat.format_conversations(turns)
-    return formatted.select("conv_id", chat.read_back()(F.col("formatted")).alias("r")).select("conv_id", "r.*")
+    return chat.conversation_digests(turns)
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
