@@ -50,12 +50,34 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: of near-duplicates (0.8 or more) the document with the smallest id stays.
 
-    Repeated rows of a kept document are one row. Rows without a doc_id stay if no
-    row with an id is in their component.
+    Rows of a kept document with the same text are one row, the least in the other
+    columns. Of rows without a doc_id one of each shingle set stays, if no row with an
+    id has that set; those without a word all stay.
     """
     found = near_dedup.near_duplicates(docs, percent=NEAR_PERCENT)
     gone = stored(found.where("not kept and doc_id is not null").select("doc_id").distinct(), "near-copies")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    left = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(docs.columns)
+    ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("times__"))
+    twice = stored(ids.where("times__ > 1").select("doc_id"), "repeated-ids")
+    if not twice.isEmpty():
+        copies = _least_rows(left.join(twice, "doc_id", "left_semi"), ["doc_id", "text"])
+        left = left.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(copies.select(docs.columns))
+    nameless = docs.where("doc_id is null")
+    if nameless.isEmpty():
+        return left
+    set_key = near_dedup.signature(F.col("text"))["set_key"].alias("set__")
+    nameless = stored(nameless.select("*", set_key), "rows-without-id")
+    known = docs.where("doc_id is not null").select(set_key)
+    worded = nameless.where(F.length("set__") > 0).join(known, "set__", "left_anti")
+    worded = _least_rows(worded, ["set__"])
+    empty = nameless.where(F.length("set__") == 0)
+    return left.unionByName(worded.select(docs.columns)).unionByName(empty.select(docs.columns))
+
+
+def _least_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each value of the keys: the least in the other columns."""
+    others = F.struct(*[c for c in rows.columns if c not in keys])
+    return rows.groupBy(*keys).agg(F.min(others).alias("least__")).select(*keys, "least__.*")
 
 
 def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -58,3 +58,18 @@ def test_near_documents_from_four_fifths_go(spark, sf_dir):
     assert not any(100 * len(a & b) >= 80 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
     found = corpus_pipeline.distinct_documents(spark, small, sf_dir).collect()
     assert sorted(r.doc_id for r in found) == [1, 3, 4]
+
+
+def test_repeated_rows_and_rows_without_id(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    text, other = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    rows = [(1, text, "en"), (1, text, "de"), (1, text, "de"), (2, text, "en"), (None, text, "en"), (None, text.upper(), "en")]
+    rows += [(None, other, "fr"), (None, other, "de"), (None, "", "en"), (None, None, "en"), (5, "c d e", "en"), (5, "f g h", "en")]
+    small = docs.limit(0).unionByName(
+        spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), allowMissingColumns=True
+    )
+    after = corpus_pipeline.distinct_documents(spark, small, sf_dir)
+    assert after.dtypes == docs.dtypes
+    found = sorted(((r.doc_id, r.text, r.lang) for r in after.collect()), key=repr)
+    wanted = [(1, text, "de"), (None, other, "de"), (None, "", "en"), (None, None, "en"), (5, "c d e", "en"), (5, "f g h", "en")]
+    assert found == sorted(wanted, key=repr)
