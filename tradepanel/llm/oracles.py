@@ -110,3 +110,50 @@ WITH lines AS (
 SELECT doc_id, coalesce(n, 0) AS n_dropped, coalesce(entries, '') AS dropped, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM documents LEFT JOIN dropped USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+DIVERGENCE = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row_no, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+),
+words AS (
+    SELECT row_no, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+),
+kept AS (
+    SELECT lang, term, count(*)::HUGEINT AS n FROM words GROUP BY lang, term HAVING count(DISTINCT row_no) >= 3
+),
+langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+found AS (
+    SELECT w.lang, w.source, w.term, count(*)::HUGEINT AS n FROM words w JOIN kept USING (lang, term)
+    GROUP BY w.lang, w.source, w.term
+),
+totals AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM found GROUP BY lang, source),
+groups AS (
+    SELECT DISTINCT d.lang, d.source, coalesce(t.total, 0)::HUGEINT AS total FROM docs d LEFT JOIN totals t USING (lang, source)
+),
+prices AS (
+    SELECT g.lang, g.source, k.term, coalesce(f.n, 0) AS n,
+        1 + 1000000000::HUGEINT * (coalesce(f.n, 0) + 1) // (g.total + l.v) AS p,
+        1 + 1000000000::HUGEINT * (k.n + 1) // (l.total + l.v) AS lang_p
+    FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang)
+    LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.term = k.term
+),
+sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM prices a JOIN prices b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source
+),
+parts AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - lang_p) * (p - lang_p) // lang_p FROM prices WHERE n > 0 AND p > lang_p
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM parts
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR place <= 200
+"""

@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, fingerprints, line_dedup, near_dedup, oracles, pii, quality, sharding, token_counts
+from . import (
+    bpe,
+    chat,
+    decontamination,
+    divergence,
+    fingerprints,
+    line_dedup,
+    near_dedup,
+    oracles,
+    periodic_runs,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    token_counts,
+)
 from .common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -143,6 +158,50 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose SimHash fingerprints differ in at most four bits."""
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, and what is left without their repeats.
+
+    The contract makes about a tenth of the documents periodic from some word on.
+    """
+    docs = made_periodic(documents(spark, sf_dir))
+    found = periodic_runs.periodic_runs(docs, outputs=("runs", "collapsed_sha256"))
+    found = found.withColumn("longest", periodic_runs.longest(F.col("runs")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "longest.start",
+        "longest.length",
+        "longest.period",
+        F.call_function("div", 1000 * F.col("longest.length"), F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(periodic_runs.as_lines(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+        "collapsed_sha256",
+    )
+
+
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """The documents, those that the contract picks with a part that repeats."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(F.pmod(h, F.lit(10)) == 0, words).alias("words"))
+    size = F.size("words").cast("bigint")
+    a = F.when(size > 0, F.pmod("g", size))
+    rows = rows.withColumn("a", a).withColumn("p", 1 + F.floor((size - F.col("a")) / (3 + F.pmod("g", F.lit(8)))))
+    place = lambda i: (F.col("a") + F.pmod(i - F.col("a"), F.col("p"))).cast("int")
+    repeated = F.transform("words", lambda word, i: F.when(i < F.col("a"), word).otherwise(F.get("words", place(i))))
+    text = F.when(F.col("a").isNotNull(), F.array_join(repeated, " ")).otherwise(F.col("text"))
+    return rows.select("doc_id", text.alias("text"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each source's distance from the others of its language, and its own terms."""
+    return divergence.divergence(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_near_dedup": op2_near_dedup,
@@ -154,10 +213,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_chat": op9_chat,
     "op10_token_counts": op10_token_counts,
+    "op11_simhash": op11_simhash,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_divergence": op13_divergence,
 }
 ORACLES: dict[str, str] = {
     "op2_near_dedup": oracles.NEAR_DEDUP,
     "op7_line_dedup": oracles.LINE_DEDUP,
     "op8_decontamination": oracles.DECONTAMINATION,
     "op9_chat": oracles.CHAT,
+    "op13_divergence": oracles.DIVERGENCE,
 }
