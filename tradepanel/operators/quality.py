@@ -87,21 +87,35 @@ def limit_violations(raw: DataFrame) -> DataFrame:
     return counts.select(F.inline(pairs))
 
 
+def export_measures(raw: DataFrame) -> dict[str, Column]:
+    """Counts behind DQ1, DQ2 and DQ9, which can also be observed while rows are written."""
+    # A null field is within its limits.
+    within = [F.coalesce(beyond_limit(raw, n).cast("int"), F.lit(0)) for n in limited_columns(raw)]
+    return {
+        "records": F.count(F.lit(1)),
+        "invalid_fob": F.count(F.when(invalid_fob(raw), 1)),
+        "beyond_limits": F.coalesce(F.sum(sum(within, F.lit(0))), F.lit(0)),
+    }
+
+
+def as_export_checks(counts: DataFrame) -> DataFrame:
+    """DQ1-DQ3 and DQ9 from one row of ``export_measures`` and ``destinations``."""
+    measures = counts.select(
+        F.col("records").alias("DQ1"),
+        F.try_divide(F.col("invalid_fob") * 100.0, F.col("records")).alias("DQ2"),
+        F.col("destinations").alias("DQ3"),
+        F.col("beyond_limits").alias("DQ9"),
+    )
+    return as_checks(measures, "DQ1", "DQ2", "DQ3", "DQ9")
+
+
 def export_checks(raw: DataFrame, run_date: date | None = None) -> DataFrame:
     """DQ1-DQ3 and DQ9 over the raw lines, or those loaded since the run date."""
-    limited = limited_columns(raw)
+    measures = export_measures(raw)
     if run_date is not None:
         raw = raw.filter(F.col("EXTRACTION_DATE") >= F.lit(run_date))
-    # A null field is within its limits.
-    within = [F.coalesce(beyond_limit(raw, n).cast("int"), F.lit(0)) for n in limited]
-    limits = sum(within, F.lit(0))
-    measures = raw.agg(
-        F.count("*").alias("DQ1"),
-        (F.try_divide(F.count(F.when(invalid_fob(raw), 1)) * 100.0, F.count("*"))).alias("DQ2"),
-        F.countDistinct(known_destination()).alias("DQ3"),
-        F.coalesce(F.sum(limits), F.lit(0)).alias("DQ9"),
-    )
-    return as_checks(measures, "DQ1", "DQ2", "DQ3", "DQ9")
+    counts = [value.alias(name) for name, value in measures.items()]
+    return as_export_checks(raw.agg(*counts, F.countDistinct(known_destination()).alias("destinations")))
 
 
 def panel_checks(panel: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import learning, marts, quality, reports
 from ..sources.files import last_update
 from ..sources.tables import read_table
+from .exports import current
 
 
 class Dashboard:
@@ -29,7 +30,7 @@ class Dashboard:
 
     @property
     def exports(self) -> DataFrame:
-        return self._table("exports")
+        return current(self.spark, self.warehouse, "exports")
 
     def get_available_years(self):
         return reports.available_years(self.panel)
@@ -108,11 +109,24 @@ class Dashboard:
         return self._table("export_checks").unionByName(self._table("gdp_checks"))
 
     def get_data_quality_issues(self):
-        return quality.export_issues(self._table("raw_exports"))
+        return quality.export_issues(current(self.spark, self.warehouse, "raw_exports"))
 
     def get_gdp_quality_issues(self):
         return quality.panel_issues(self.panel)
 
+    def get_refused_files(self):
+        """Landed files that were not read, each with the reasons."""
+        refused = self._table("manifest").where("status = 'refused'")
+        return refused.select("file", "size", "modified", "reason")
+
+    def get_malformed_records(self):
+        """Records with more or fewer fields than their header, by file."""
+        return self._table("malformed_records")
+
+    def get_load_statistics(self):
+        """What each load has read and kept, counted while it was written."""
+        return self._table("load_statistics").orderBy("LOAD")
+
     def get_data_lineage(self):
         return quality.lineage(self.exports, "exports")
 

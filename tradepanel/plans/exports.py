@@ -1,18 +1,21 @@
-"""The export job: landed files to clean table, marts and checks."""
+"""The export job: new landed files to clean table, marts and checks."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import marts, quality
 from ..operators.exports import clean_exports, with_audit
-from ..sources.export_files import ingest
-from ..sources.tables import read_table, write_if_any, write_table
+from ..operators.totals import total
+from ..sources import folders, manifest
+from ..sources.export_files import MALFORMED, malformed_rows, read_files
+from ..sources.tables import observed_write, read_table, replace_partitions, stored, write_table
 
-
-# The marts, and the columns that a table must have for each.
+# The marts, and the columns that a table must have for each. Every mart has a YEAR, so
+# that a load changes only the years of its rows.
 MARTS = {
     "monthly_exports_by_country": (
         marts.monthly_by_destination,
@@ -28,36 +31,114 @@ MARTS = {
         {"YEAR", "PRODUCTO_CLEAN", "FOB_CLEAN", "FOB_PER_KG", "PAIS_DESTINO_CLEAN"},
     ),
 }
+STATISTICS = (
+    "LOAD string, records bigint, invalid_fob bigint, beyond_limits bigint, destinations bigint, files bigint, "
+    "first_extraction timestamp, last_extraction timestamp, clean_records bigint, total_fob_usd double"
+)
 
 
-def clean(raw: DataFrame, run_at: datetime, warehouse: str) -> DataFrame:
-    """Write the clean table once; everything after reads it with only the columns
-    and years it needs."""
-    path = f"{warehouse}/exports"
-    by = "YEAR" if "YEAR" in raw.columns else None
-    write_table(with_audit(clean_exports(raw), run_at), path, by=by)
-    return read_table(raw.sparkSession, path)
+def current(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
+    """The rows of ``raw_exports`` or ``exports`` that count: those of finished loads."""
+    known = manifest.read_manifest(spark, f"{warehouse}/manifest")
+    return manifest.current_table(spark, f"{warehouse}/{name}", known)
+
+
+def in_years(rows: DataFrame, years: list) -> DataFrame:
+    """The rows of these years, None among them for rows without a year."""
+    known = F.col("YEAR").isin([year for year in years if year is not None])
+    return rows.where(known | F.col("YEAR").isNull() if None in years else known)
 
 
-def build_marts(exports: DataFrame, warehouse: str) -> dict[str, bool]:
-    """A1-A3, A28; tells which marts were written. One whose columns are missing,
-    or that has no rows, is left out."""
-    written = {
-        name: columns <= set(exports.columns) and write_if_any(mart(exports), f"{warehouse}/{name}")
-        for name, (mart, columns) in MARTS.items()
-    }
+def build_marts(exports: DataFrame, warehouse: str, years: list | None = None) -> dict[str, bool]:
+    """A1-A3, A28; tells which marts have rows. One whose columns are missing is left out.
+
+    With ``years`` only these are computed and replaced; a year without rows any more
+    goes from the mart.
+    """
+    spark = exports.sparkSession
+    lines = exports if years is None else in_years(exports, years)
+    written = {}
+    for name, (mart, columns) in MARTS.items():
+        path = f"{warehouse}/{name}"
+        if written_now := columns <= set(exports.columns):
+            _replace_years(spark, mart(lines), path, years)
+        written[name] = written_now and folders.exists(spark, path)
     if all(written.values()):
-        spark = exports.sparkSession
-        long = marts.export_analytics(*[read_table(spark, f"{warehouse}/{n}") for n in written])
-        write_table(long, f"{warehouse}/export_analytics")
+        parts = [read_table(spark, f"{warehouse}/{name}") for name in written]
+        if years is not None:
+            parts = [in_years(part, years) for part in parts]
+        _replace_years(spark, marts.export_analytics(*parts), f"{warehouse}/export_analytics", years, by="year")
     return written
 
 
+def _replace_years(spark: SparkSession, rows: DataFrame, path: str, years: list | None, by: str = "YEAR") -> None:
+    """Compute and write the rows once; what the write counts says which years are empty."""
+    before = stored_years(spark, path, by) if folders.exists(spark, path) else set()
+    seen = Observation()
+    replace_partitions(rows.observe(seen, F.collect_set(by).alias("years"), F.count(F.lit(1)).alias("rows"), F.count(by).alias("dated")), path, by)
+    left = {*seen.get["years"], *([None] if seen.get["rows"] > seen.get["dated"] else [])}
+    for year in (before if years is None else before & set(years)) - left:
+        folders.remove(spark, f"{path}/{by}={'__HIVE_DEFAULT_PARTITION__' if year is None else year}")
+    if not left and not before - set(years or before):
+        folders.remove(spark, path)
+
+
+def stored_years(spark: SparkSession, path: str, by: str = "YEAR") -> set:
+    """The partitions of a mart; a year is a folder, so no row is read for this."""
+    return {row[0] for row in read_table(spark, path).select(by).distinct().collect()}
+
+
 def run(spark: SparkSession, landing: str, warehouse: str, run_at: datetime) -> DataFrame:
-    """The whole job; returns its checks."""
-    raw_path = write_table(ingest(spark, landing, run_at), f"{warehouse}/raw_exports")
-    raw = read_table(spark, raw_path)
-    build_marts(clean(raw, run_at, warehouse), warehouse)
-    checks = quality.export_checks(raw, run_at.date())
+    """The whole job; returns the checks of this load.
+
+    Only files that no earlier load has met are read, once; their rows are added to the
+    raw and the clean table as a load of their own, and only the marts of their years are
+    computed anew. A file that comes again with other content takes the place of its
+    earlier rows. What the write of the rows has counted makes up checks and statistics.
+    The manifest comes last: a run that fails before it can be repeated, and a repeated
+    run gives the same tables.
+    """
+    load, paths = manifest.load_id(run_at), {name: f"{warehouse}/{name}" for name in ("raw_exports", "exports", "manifest")}
+    earlier = manifest.read_manifest(spark, paths["manifest"]).where(F.col("LOAD") != load)
+    earlier = stored(earlier, "manifest")
+    changes = manifest.inspect_changes(spark, landing, earlier, load)
+    files = changes.where(F.col("status") == manifest.LOADED)
+    known = earlier.unionByName(manifest.entries(changes))
+    if files.isEmpty():
+        if earlier.where(F.col("status") == manifest.LOADED).isEmpty():
+            raise ValueError(f"no file in {landing} has both a FOB and a destination column")
+        counts = {"records": 0, "invalid_fob": 0, "beyond_limits": 0, "destinations": 0, "files": 0}
+    else:
+        counts = _load(spark, files, known, warehouse, paths, load, run_at)
+    manifest.commit(changes, paths["manifest"], load)
+    statistics = spark.createDataFrame([{"LOAD": load} | counts], STATISTICS)
+    manifest.write_load(statistics, f"{warehouse}/load_statistics", load)
+    checks = quality.as_export_checks(statistics)
     write_table(checks, f"{warehouse}/export_checks")
     return read_table(spark, f"{warehouse}/export_checks")
+
+
+def _load(spark, files: DataFrame, known: DataFrame, warehouse: str, paths: dict, load: str, run_at: datetime) -> dict:
+    """Write the rows of new files and the marts of their years; returns what was counted."""
+    raw = read_files(spark, files, run_at, malformed=True)
+    measures = quality.export_measures(raw)
+    extracted = {"first_extraction": F.min("EXTRACTION_DATE"), "last_extraction": F.max("EXTRACTION_DATE")}
+    counts = observed_write(raw, f"{paths['raw_exports']}/LOAD={load}", **measures, **extracted)
+    counts["files"] = files.count()
+    raw = read_table(spark, f"{paths['raw_exports']}/LOAD={load}")
+    counts["destinations"] = raw.select(quality.known_destination().alias("name")).dropna().distinct().count()
+    write_table(malformed_rows(raw), f"{warehouse}/malformed_records/LOAD={load}")
+    clean = with_audit(clean_exports(raw.drop(MALFORMED)), run_at)
+    by = "YEAR" if "YEAR" in raw.columns else None
+    own = f"{paths['exports']}/LOAD={load}"
+    seen = observed_write(clean, own, by=by, clean_records=F.count(F.lit(1)), total_fob_usd=total(F.col("FOB_CLEAN")))
+    if by:
+        years = {row.YEAR for row in read_table(spark, own).select("YEAR").distinct().collect()}
+        replaced = stored(manifest.superseded(known).join(files.select(F.col("file").alias("SOURCE_PATH")), "SOURCE_PATH"), "replaced")
+        loads = [row.LOAD for row in replaced.select("LOAD").distinct().collect()]
+        if loads:
+            old = read_table(spark, paths["exports"]).where(F.col("LOAD").isin(loads))
+            old = old.join(replaced, ["LOAD", "SOURCE_PATH"], "left_semi")
+            years |= {row.YEAR for row in old.select("YEAR").distinct().collect()}
+        build_marts(manifest.current_table(spark, paths["exports"], known), warehouse, sorted(years, key=str))
+    return counts | seen

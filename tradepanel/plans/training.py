@@ -10,6 +10,7 @@ from ..constants import LAGGED_FEATURES
 from ..operators import features as feature_tables
 from ..operators import learning
 from ..sources.tables import append_table, read_table, write_table
+from .exports import current
 
 
 def run(
@@ -21,7 +22,7 @@ def run(
     A model that fails the deployment check is an error and is not registered.
     """
     panel = read_table(spark, f"{warehouse}/gdp_panel")
-    exports = read_table(spark, f"{warehouse}/exports")
+    exports = current(spark, warehouse, "exports")
     write_table(feature_tables.short_features(panel, exports), f"{warehouse}/training_table")
     table = read_table(spark, f"{warehouse}/training_table")
     if grid:

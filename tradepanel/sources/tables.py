@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import MIN_TRAINING_ROWS, REFERENCE_REGIONS, REFERENCE_YEAR
 from ..schemas import EXPORT_ANALYTICS
 from ..session import new_folder
+from . import folders
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", by: str | None = None) -> str:
@@ -113,13 +115,22 @@ def require_rows(df: DataFrame, at_least: int = MIN_TRAINING_ROWS) -> DataFrame:
     return df
 
 
+def observed_write(df: DataFrame, path: str, by: str | None = None, **measures: Column) -> dict:
+    """Write a table and return measures of its rows, counted by the write itself."""
+    seen = Observation()
+    write_table(df.observe(seen, *[value.alias(name) for name, value in measures.items()]), path, by=by)
+    return seen.get
+
+
 def write_if_any(df: DataFrame, path: str) -> bool:
-    """Write a mart and report whether it has rows; an empty one is not left
-    behind as a new table. The mart is run once, by the write itself."""
-    result = stored(df, "mart")
-    if result.isEmpty():
+    """Write a mart and report whether it has rows. The mart is run and written once,
+    beside its place, and put there if it has rows; an empty one leaves what was there."""
+    spark = df.sparkSession
+    beside = f"{path}-{uuid.uuid4().hex}"
+    if observed_write(df, beside, rows=F.count(F.lit(1)))["rows"] == 0:
+        folders.remove(spark, beside)
         return False
-    write_table(result, path)
+    folders.publish(spark, beside, path)
     return True
 
 
