@@ -208,9 +208,10 @@ class Tables:
                        "REGION DE ORIGEN", "RUT PROBABLE EXPORTADOR"),
             "exports",
         )
+        pre = marts.pre_aggregate(lines)
         return marts.export_analytics(
-            marts.monthly_by_destination(lines), marts.regional_by_year(lines),
-            marts.product_by_year(lines),
+            marts.monthly_by_destination(lines), marts.regional_by_year(lines, pre),
+            marts.product_by_year(lines, pre),
         )
 
     def yearly(self) -> DataFrame:

@@ -246,6 +246,33 @@ def a22(t):
     return found.withColumns({name: F.round(F.col(name) / 1e9, 6) for name in QUARTILES})
 
 
+def five_numbers(source):
+    parts = ("min(f)", *[f"quantile_cont(f, {x})" for x in (0.25, 0.5, 0.75)], "max(f)")
+    names = ("min_fob", "q1_fob", "median_fob", "q3_fob", "max_fob")
+    return ", ".join(f"round({part}, 4) AS {name}" for part, name in zip(parts, names)) + f" FROM ({source})"
+
+
+@query(
+    "a22_fob_by_destination",
+    f"""SELECT destination, CAST(count(*) AS BIGINT) AS values, {five_numbers('SELECT "PAIS_DESTINO_CLEAN" AS destination, "FOB_CLEAN" AS f FROM clean')}
+        GROUP BY destination""",
+)
+def a22_by_destination(t):
+    found = reports.fob_distribution(t.clean("US$ FOB", "PAIS DE DESTINO"), "PAIS_DESTINO_CLEAN")
+    numbers = [n for n in found.columns if n.endswith("_fob")]
+    return found.withColumns({n: F.round(n, 4) for n in numbers}).withColumnRenamed("PAIS_DESTINO_CLEAN", "destination")
+
+
+@query(
+    "a22_fob_of_all_lines",
+    f"""SELECT CAST(count(*) AS BIGINT) AS values, {five_numbers('SELECT "FOB_CLEAN" AS f FROM clean')}""",
+)
+def a22_all(t):
+    """One group that holds all lines."""
+    found = reports.fob_distribution(t.clean("US$ FOB"))
+    return found.withColumns({n: F.round(n, 4) for n in found.columns if n.endswith("_fob")})
+
+
 @query(
     "a23_category_summary",
     f"""SELECT "EXPORT_SIZE_CATEGORY" AS category, count(*) AS total_records,

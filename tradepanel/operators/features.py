@@ -64,12 +64,24 @@ def relative_change(name: str) -> Column:
     return F.col(name) / before(name) - 1
 
 
+def in_year_by(name: str) -> WindowSpec:
+    return in_year().orderBy(name)
+
+
+def all_in_year(name: str) -> WindowSpec:
+    """The whole year, in the order that ranks of ``name`` need: one sort serves both."""
+    return in_year_by(name).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def average_rank_share(name: str) -> Column:
     """Ascending rank within the year over the number of values, where
-    equal values share the mean of their ranks."""
-    lowest = F.rank().over(in_year().orderBy(name))
-    ties = F.count(name).over(Window.partitionBy("year", name))
-    return (lowest + (ties - 1) / 2) / F.count(name).over(in_year())
+    equal values share the mean of their ranks: halfway between the first of them and
+    the last. All three numbers come from one window. A null has no rank."""
+    first = F.rank().over(in_year_by(name))
+    last = F.count(F.lit(1)).over(in_year_by(name).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    known = F.count(name).over(all_in_year(name))
+    nulls = F.count(F.lit(1)).over(all_in_year(name)) - known  # they come first in the order
+    return F.when(F.col(name).isNotNull(), ((first + last) / 2 - nulls) / known)
 
 
 def with_lags(panel: DataFrame) -> DataFrame:
@@ -107,19 +119,15 @@ def with_year_fraction(df: DataFrame, panel: DataFrame | None = None) -> DataFra
 
 
 def with_category_codes(df: DataFrame, *columns: str, panel: DataFrame | None = None) -> DataFrame:
-    """M3 as numbers: each label's place among the labels in alphabetical order.
+    """M3 as numbers: each label's place among the labels in alphabetical order; a null
+    has none.
 
-    The places come from the distinct labels, which are few, and are joined back.
+    The labels of all columns, which are few, are arrays in one row: a scalar subquery.
     """
     panel = df if panel is None else panel
-    for name in columns:
-        codes = (
-            panel.select(name)
-            .distinct()
-            .select(name, (F.row_number().over(Window.orderBy(name)) - 1).alias(f"{name}_encoded"))
-        )
-        df = df.join(codes, name, "left")
-    return df
+    labels = panel.agg(F.struct(*[F.sort_array(F.collect_set(name)).alias(name) for name in columns])).scalar()
+    place = {name: F.array_position(labels.getField(name), F.col(name)) - 1 for name in columns}
+    return df.withColumns({f"{name}_encoded": place[name].cast("int") for name in columns})
 
 
 def drop_without_lag(df: DataFrame) -> DataFrame:
@@ -212,7 +220,7 @@ def long_features(panel: DataFrame, raw_exports: DataFrame) -> DataFrame:
             "gdp_change": change("gdp_value"),
             "ranking_change": change("ranking"),
             "gdp_pct_change": relative_change("gdp_value"),
-            "gdp_vs_year_mean": gdp / F.avg("gdp_value").over(in_year()),
+            "gdp_vs_year_mean": gdp / F.avg("gdp_value").over(all_in_year("gdp_value")),
             "ranking_percentile": average_rank_share("ranking"),
             "gdp_percentile": average_rank_share("gdp_value"),
             "region_gdp_interaction": F.avg("gdp_value").over(in_region()),

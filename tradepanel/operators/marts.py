@@ -2,7 +2,8 @@
 
 All are hash aggregates on their keys with partial sums before the shuffle. The
 distinct counts first shuffle on key and value, so a destination with a third of
-all lines is still counted by many tasks.
+all lines is still counted by many tasks. Marts with distinct counts of region,
+destination and product are rolled up from one ``pre_aggregate`` of the lines.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as C
+from . import rollup
 from .exports import value_column
 from .totals import mean, total
 
@@ -31,55 +33,58 @@ def monthly_by_destination(exports: DataFrame) -> DataFrame:
     )
 
 
-def regional_by_year(exports: DataFrame) -> DataFrame:
+#: The finest key of the marts that are rolled up, as far as a table has the columns.
+FINEST = ("YEAR", "REGION_ORIGEN_CLEAN", "PAIS_DESTINO_CLEAN", "PRODUCTO_CLEAN")
+
+
+def pre_aggregate(exports: DataFrame) -> DataFrame:
+    """The lines by the finest key, written once for all marts that need it."""
+    keys = [F.col(name) for name in FINEST if name in exports.columns]
+    amounts = {"fob": (value_column(exports), 2)}
+    if "FOB_PER_KG" in exports.columns:
+        amounts["per_kg"] = (F.col("FOB_PER_KG"), 8)
+    return rollup.pre_aggregate(exports, keys, **amounts)
+
+
+def regional_by_year(exports: DataFrame, pre: DataFrame | None = None) -> DataFrame:
     """A2."""
-    fob = F.col("FOB_CLEAN")
-    return (
-        exports.filter(F.col("REGION_ORIGEN_CLEAN").isNotNull())
-        .groupBy("REGION_ORIGEN_CLEAN", "YEAR")
-        .agg(
-            F.count("*").alias("TOTAL_EXPORTS"),
-            total(fob).alias("TOTAL_FOB_USD"),
-            mean(fob).alias("AVG_FOB_USD"),
-            F.countDistinct("PAIS_DESTINO_CLEAN").alias("UNIQUE_DESTINATIONS"),
-            F.countDistinct("PRODUCTO_CLEAN").alias("UNIQUE_PRODUCTS"),
-        )
-        .filter(F.col("TOTAL_FOB_USD") > 0)
-    )
+    pre = pre or pre_aggregate(exports.drop("FOB_PER_KG"))
+    sums = {"TOTAL_EXPORTS": rollup.rows(), "TOTAL_FOB_USD": rollup.total("fob"), "AVG_FOB_USD": rollup.mean("fob")}
+    distinct = {"UNIQUE_DESTINATIONS": "PAIS_DESTINO_CLEAN", "UNIQUE_PRODUCTS": "PRODUCTO_CLEAN"}
+    known = pre.filter(F.col("REGION_ORIGEN_CLEAN").isNotNull())
+    found = rollup.rolled_up(known, ("REGION_ORIGEN_CLEAN", "YEAR"), sums, distinct)
+    return found.filter(F.col("TOTAL_FOB_USD") > 0)
 
 
-def product_by_year(exports: DataFrame) -> DataFrame:
+def product_by_year(exports: DataFrame, pre: DataFrame | None = None) -> DataFrame:
     """A3."""
-    fob = F.col("FOB_CLEAN")
-    return (
-        exports.filter(F.col("PRODUCTO_CLEAN").isNotNull())
-        .groupBy("PRODUCTO_CLEAN", "YEAR")
-        .agg(
-            F.count("*").alias("EXPORT_COUNT"),
-            total(fob).alias("TOTAL_FOB_USD"),
-            mean(fob).alias("AVG_FOB_USD"),
-            mean(F.col("FOB_PER_KG"), 8).alias("AVG_FOB_PER_KG"),
-            F.countDistinct("PAIS_DESTINO_CLEAN").alias("DESTINATION_DIVERSITY"),
-        )
-        .filter(F.col("TOTAL_FOB_USD") > 0)
-    )
+    pre = pre or pre_aggregate(exports.drop("REGION_ORIGEN_CLEAN"))
+    sums = {
+        "EXPORT_COUNT": rollup.rows(),
+        "TOTAL_FOB_USD": rollup.total("fob"),
+        "AVG_FOB_USD": rollup.mean("fob"),
+        "AVG_FOB_PER_KG": rollup.mean("per_kg"),
+    }
+    known = pre.filter(F.col("PRODUCTO_CLEAN").isNotNull())
+    found = rollup.rolled_up(known, ("PRODUCTO_CLEAN", "YEAR"), sums, {"DESTINATION_DIVERSITY": "PAIS_DESTINO_CLEAN"})
+    return found.filter(F.col("TOTAL_FOB_USD") > 0)
 
 
-def yearly_features(exports: DataFrame) -> DataFrame:
+def yearly_features(exports: DataFrame, pre: DataFrame | None = None) -> DataFrame:
     """A4: one row per year for the training table."""
-    fob = F.col("FOB_CLEAN")
-    return (
-        exports.filter(F.col("YEAR").isNotNull() & (fob > 0))
-        .groupBy(F.col("YEAR").cast("int").alias("year"))
-        .agg(
-            total(fob).alias("total_exports_usd"),
-            mean(fob).alias("avg_export_value"),
-            F.count("*").alias("export_transactions"),
-            F.countDistinct("PAIS_DESTINO_CLEAN").alias("export_destinations"),
-            F.countDistinct("PRODUCTO_CLEAN").alias("export_products"),
-            F.countDistinct("REGION_ORIGEN_CLEAN").alias("export_regions"),
-        )
-    )
+    pre = pre or pre_aggregate(exports.filter(F.col("YEAR").isNotNull() & (F.col("FOB_CLEAN") > 0)).drop("FOB_PER_KG"))
+    sums = {
+        "total_exports_usd": rollup.total("fob"),
+        "avg_export_value": rollup.mean("fob"),
+        "export_transactions": rollup.rows(),
+    }
+    distinct = {
+        "export_destinations": "PAIS_DESTINO_CLEAN",
+        "export_products": "PRODUCTO_CLEAN",
+        "export_regions": "REGION_ORIGEN_CLEAN",
+    }
+    by_year = pre.filter(F.col("YEAR").isNotNull()).withColumn("year", F.col("YEAR").cast("int"))
+    return rollup.rolled_up(by_year, ("year",), sums, distinct)
 
 
 def _amounts(raw: DataFrame) -> dict:
@@ -92,19 +97,16 @@ def _amounts(raw: DataFrame) -> dict:
 def yearly_averages(raw: DataFrame) -> DataFrame:
     """A5: averages over positive values, counts over all lines that have a FOB."""
     fob, weight = F.col("_fob"), F.col("_weight")
-    return (
-        raw.filter(F.col("YEAR").isNotNull() & C.named("US$ FOB").isNotNull())
-        .withColumns(_amounts(raw))
-        .groupBy(F.col("YEAR").cast("int").alias("year"))
-        .agg(
-            mean(F.when(fob > 0, fob)).alias("avg_fob_value"),
-            mean(F.when(weight > 0, weight), 3).alias("avg_weight"),
-            F.count("*").alias("export_records"),
-            F.countDistinct(C.named("PAIS DE DESTINO")).alias("unique_destinations"),
-            F.countDistinct("PRODUCTO").alias("unique_products"),
-            F.countDistinct(C.named("REGION DE ORIGEN")).alias("unique_regions"),
-        )
+    lines = raw.filter(F.col("YEAR").isNotNull() & C.named("US$ FOB").isNotNull()).withColumns(_amounts(raw))
+    distinct = {"unique_destinations": "PAIS DE DESTINO", "unique_products": "PRODUCTO", "unique_regions": "REGION DE ORIGEN"}
+    pre = rollup.pre_aggregate(
+        lines,
+        [F.col("YEAR").cast("int").alias("year"), *[C.named(name) for name in distinct.values()]],
+        fob=(F.when(fob > 0, fob), 2),
+        weight=(F.when(weight > 0, weight), 3),
     )
+    sums = {"avg_fob_value": rollup.mean("fob"), "avg_weight": rollup.mean("weight"), "export_records": rollup.rows()}
+    return rollup.rolled_up(pre, ("year",), sums, distinct)
 
 
 def export_summary(raw: DataFrame) -> DataFrame:

@@ -10,22 +10,21 @@ from pyspark.sql.window import Window
 
 from ..functions import cleaning as C
 from ..functions import gdp as G
-from . import features, marts
+from . import features, marts, rollup
 from .exports import filter_in, keep_columns, value_column
+from .quantiles import quantiles
 from .totals import mean, total
 
 EXPORT_KEY = ("NUMERO DE ACEPTACION", "ITEM")
 PANEL_KEY = ("country_code", "year")
 
 
-def run_statistics(exports: DataFrame) -> DataFrame:
-    """One pass for all numbers of a run."""
-    return exports.agg(
-        F.count("*").alias("total_records"),
-        F.countDistinct("YEAR").alias("years_covered"),
-        F.countDistinct("PAIS_DESTINO_CLEAN").alias("destination_countries"),
-        total(F.col("FOB_CLEAN")).alias("total_fob_usd"),
-    )
+def run_statistics(exports: DataFrame, pre: DataFrame | None = None) -> DataFrame:
+    """One pass over the lines for all numbers of a run."""
+    pre = pre or marts.pre_aggregate(exports.select("YEAR", "PAIS_DESTINO_CLEAN", "FOB_CLEAN"))
+    sums = {"total_records": rollup.rows(), "total_fob_usd": rollup.total("fob")}
+    distinct = {"years_covered": "YEAR", "destination_countries": "PAIS_DESTINO_CLEAN"}
+    return rollup.rolled_up(pre, (), sums, distinct)
 
 
 def gdp_overview(panel: DataFrame, years=None) -> DataFrame:
@@ -87,15 +86,16 @@ def regional_share(panel: DataFrame, years=None) -> DataFrame:
     return regions.select("region", "total_gdp", share.alias("share"))
 
 
-def export_data_summary(exports: DataFrame, years=None) -> DataFrame:
+def export_data_summary(exports: DataFrame, years=None, pre: DataFrame | None = None) -> DataFrame:
     """A12."""
-    return filter_in(exports, "YEAR", years).agg(
-        F.count("*").alias("total_records"),
-        total(value_column(exports)).alias("total_fob_usd"),
-        F.countDistinct("PAIS_DESTINO_CLEAN").alias("unique_countries"),
-        F.countDistinct("PRODUCTO_CLEAN").alias("unique_products"),
-        F.countDistinct("REGION_ORIGEN_CLEAN").alias("unique_regions"),
-    )
+    pre = pre or marts.pre_aggregate(filter_in(exports, "YEAR", years).drop("FOB_PER_KG"))
+    sums = {"total_records": rollup.rows(), "total_fob_usd": rollup.total("fob")}
+    distinct = {
+        "unique_countries": "PAIS_DESTINO_CLEAN",
+        "unique_products": "PRODUCTO_CLEAN",
+        "unique_regions": "REGION_ORIGEN_CLEAN",
+    }
+    return rollup.rolled_up(filter_in(pre, "YEAR", years), (), sums, distinct)
 
 
 def export_load_statistics(exports: DataFrame, run_date: date | None = None) -> DataFrame:
@@ -175,22 +175,20 @@ def panel_profile(panel: DataFrame) -> DataFrame:
     )
 
 
+FIVE_NUMBERS = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
+
+
 def gdp_distribution(panel: DataFrame, years=None) -> DataFrame:
-    """Exact quartiles per year, over one value per country."""
-    quartiles = F.percentile("gdp_value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return (
-        filter_in(panel, "year", years)
-        .groupBy("year")
-        .agg(
-            F.min("gdp_value").alias("min_gdp"),
-            quartiles.alias("_q"),
-            F.max("gdp_value").alias("max_gdp"),
-        )
-        .select(
-            "year", "min_gdp", F.col("_q")[0].alias("q1_gdp"), F.col("_q")[1].alias("median_gdp"),
-            F.col("_q")[2].alias("q3_gdp"), "max_gdp",
-        )
-    )
+    """Exact quartiles per year, by counting."""
+    names = {f"{name}_gdp": fraction for name, fraction in FIVE_NUMBERS.items()}
+    return quantiles(filter_in(panel, "year", years), ["year"], "gdp_value", names).drop("values")
+
+
+def fob_distribution(exports: DataFrame, *keys: str) -> DataFrame:
+    """A22 of the export lines: the same five numbers of the FOB, by any columns; a
+    destination with most of the lines is counted by many tasks."""
+    names = {f"{name}_fob": fraction for name, fraction in FIVE_NUMBERS.items()}
+    return quantiles(exports, list(keys), "FOB_CLEAN", names)
 
 
 def category_summary(exports: DataFrame, years=None) -> DataFrame:
@@ -335,13 +333,14 @@ def correlation_by_country(correlations: DataFrame) -> DataFrame:
 
 
 def prediction_validation(predictions: DataFrame) -> DataFrame:
-    """Size of the errors, over one prediction per country and year."""
+    """Size of the errors; the median is exact and found by counting."""
+    middle = quantiles(predictions, [], "absolute_error", {"median": 0.5}).select("median").scalar()
     error, percent = F.col("absolute_error"), F.col("percentage_error")
     return (
         predictions.agg(
             F.count("*").alias("total_predictions"),
             F.avg(error).alias("mean_absolute_error"),
-            F.median(error).alias("median_absolute_error"),
+            middle.alias("median_absolute_error"),
             F.avg(percent).alias("mean_percentage_error"),
             F.count(F.when(percent <= 10, 1)).alias("predictions_within_10_percent"),
             F.count(F.when(percent <= 20, 1)).alias("predictions_within_20_percent"),

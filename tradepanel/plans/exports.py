@@ -15,10 +15,10 @@ from ..sources.export_files import MALFORMED, malformed_rows, read_files
 from ..sources.tables import observed_write, read_table, replace_partitions, stored, write_table
 
 # The marts, and the columns that a table must have for each. Every mart has a YEAR, so
-# that a load changes only the years of its rows.
+# that a load changes only the years of its rows. The last two share a pre-aggregate.
 MARTS = {
     "monthly_exports_by_country": (
-        marts.monthly_by_destination,
+        lambda lines, pre=None: marts.monthly_by_destination(lines),
         {"YEAR", "MES", "PAIS_DESTINO_CLEAN", "FOB_CLEAN", "PESO_BRUTO_CLEAN",
          "RUT PROBABLE EXPORTADOR"},
     ),
@@ -57,12 +57,14 @@ def build_marts(exports: DataFrame, warehouse: str, years: list | None = None) -
     """
     spark = exports.sparkSession
     lines = exports if years is None else in_years(exports, years)
+    possible = {name: columns <= set(exports.columns) for name, (_, columns) in MARTS.items()}
+    pre = marts.pre_aggregate(lines) if any(possible.values()) else None
     written = {}
-    for name, (mart, columns) in MARTS.items():
+    for name, (mart, _) in MARTS.items():
         path = f"{warehouse}/{name}"
-        if written_now := columns <= set(exports.columns):
-            _replace_years(spark, mart(lines), path, years)
-        written[name] = written_now and folders.exists(spark, path)
+        if possible[name]:
+            _replace_years(spark, mart(lines, pre), path, years)
+        written[name] = possible[name] and folders.exists(spark, path)
     if all(written.values()):
         parts = [read_table(spark, f"{warehouse}/{name}") for name in written]
         if years is not None:
