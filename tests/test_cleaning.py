@@ -28,6 +28,13 @@ def values(df, column):
         ("2,500e-2 ", 25.0),
         ("7 EUR", 7.0),
         ("1e30", 1e30),
+        ("1.25E7 USD", 12_500_000.0),
+        ("neto 3", 3.0),
+        ("E7", 7.0),
+        ("1e999", 0.0),
+        ("-1E400 USD", 0.0),
+        ("9" * 400, 0.0),
+        ("1" + "0" * 299, 1e299),
         (None, 0.0),
     ],
 )
@@ -41,6 +48,11 @@ def test_large_number_keeps_its_exponent(spark):
     assert values(df, C.amount(df, "US$ FOB")) == [12_500_000.0, 0.0]
 
 
+def test_numbers_that_are_not_finite_are_no_amounts(spark):
+    df = spark.createDataFrame([(float("inf"),), (float("nan"),), (2.0,)], "`US$ FOB` DOUBLE")
+    assert values(df, C.amount_or_null(df, "US$ FOB")) == [None, None, 2.0]
+
+
 def test_weight_keeps_its_sign(spark):
     df = spark.createDataFrame([("-12.5",)], "`PESO BRUTO` STRING")
     assert values(df, C.amount(df, "PESO BRUTO")) == [-12.5]

@@ -121,6 +121,23 @@ def test_years_stop_at_the_first_full_one(spark):
     assert panel.years_until_enough(df, 1).select("year").distinct().count() == 1
 
 
+def test_pages_of_earlier_years_are_not_opened(spark, tmp_path):
+    for year, codes in ((2021, 9), (2022, 5), (2023, 3), (2024, 1)):
+        folder = tmp_path / "run_1999_x" / f"date={year}"
+        folder.mkdir(parents=True)
+        records = [record(f"C{i:02}", year, float(i + 1)) for i in range(codes)]
+        (folder / "page.json").write_text(json.dumps([{"page": 1}, records]))
+    (tmp_path / "page.json").write_text(json.dumps([{}, [record("XXX", 2000, 1.0)]]))
+    (tmp_path / "run_1999_x" / "date=2021" / "page.json").write_text("[{}, [{not json")
+    pages = gdp_files.pages_by_year(spark, str(tmp_path))
+    assert {year: len(files) for year, files in pages.items()} == {None: 1, 2021: 1, 2022: 1, 2023: 1, 2024: 1}
+    found = gdp_files.read_until_enough(spark, str(tmp_path), 4)
+    assert {(r.year, r["count"]) for r in found.groupBy("year").count().collect()} == {(2024, 1), (2023, 3), (2022, 5), (2000, 1)}
+    assert gdp_files.read_until_enough(spark, str(tmp_path), 0).where("year > 2000").count() == 1
+    opened = spark.read.text(pages[2023]).inputFiles()
+    assert all("date=2023" in file for file in opened)
+
+
 def test_replacing_years_twice_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     old = spark.createDataFrame([("A", 2022, 1.0), ("A", 2023, 2.0)], "c STRING, year INT, v DOUBLE")

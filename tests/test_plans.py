@@ -52,6 +52,37 @@ def test_sums_are_partial_before_the_shuffle(tables):
     assert "partial_sum" in found and "partial_count" in found
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["a2_regional_by_year", "a3_product_by_year", "a4_yearly_features", "a5_yearly_averages",
+     "a7_run_statistics", "a12_export_data_summary"],
+)
+def test_several_distinct_counts_without_expand(spark, sf_dir, name):
+    found = plan(QUERIES[name](spark, sf_dir))
+    assert "Expand" not in found
+    assert found.count("Exchange ") == 2
+
+
+def exchanges_and_windows(df) -> tuple[int, int]:
+    """Of the plan that has run, those that are reused left out."""
+    df.collect()
+    found = plan(df).split("== Initial Plan ==")[0]
+    return len(re.findall(r"(?<!Reused)(?<!Broadcast)Exchange [a-zA-Z]", found)), len(re.findall(r"\bWindow \[", found))
+
+
+def test_long_features_have_few_exchanges_and_windows(spark, sf_dir):
+    exchanges, windows = exchanges_and_windows(QUERIES["m16_long_features"](spark, sf_dir))
+    assert exchanges <= 8 and windows <= 5
+
+
+def test_average_ranks_come_from_one_window(panel):
+    from tradepanel.operators import features
+
+    ranked = panel.select("country_code", "year", features.average_rank_share("gdp_value"))
+    found = plan(ranked)
+    assert found.count("Window [") == 1 and found.count("Exchange ") == 1
+
+
 def test_year_filter_prunes_partitions(spark, tables, tmp_path):
     from tradepanel.operators.exports import filter_in
     from tradepanel.operators.reports import export_trend

@@ -59,6 +59,27 @@ def p3(t):
     return lines(t, "US$ FOB", keep_all=True).select(*key(), F.col("FOB_CLEAN").alias("fob"))
 
 
+# Spellings by item, and the number that each stands for.
+SPELLED = """CASE "ITEM" % 7 WHEN 0 THEN '1e999' WHEN 1 THEN q || 'E3 USD' WHEN 2 THEN 'US$ ' || q || 'e-2'
+    WHEN 3 THEN 'neto ' || q || ' pesos' WHEN 4 THEN '-' || q || 'E+1 EUR' WHEN 5 THEN 'E7' ELSE '1,' || q END"""
+MEANT = """CASE "ITEM" % 7 WHEN 1 THEN CAST(q || 'e3' AS DOUBLE) WHEN 2 THEN CAST(q || 'e-2' AS DOUBLE)
+    WHEN 3 THEN CAST(q AS DOUBLE) WHEN 4 THEN CAST('-' || q || 'e1' AS DOUBLE) WHEN 5 THEN 7.0::DOUBLE
+    WHEN 6 THEN CAST('1' || q AS DOUBLE) END"""
+
+
+@query(
+    "p3_amount_spellings",
+    f"""SELECT {KEY_SQL}, {SPELLED} AS spelled, {MEANT} AS amount
+        FROM (SELECT *, nullif("PESO BRUTO", '') AS q FROM raw)""",
+)
+def p3_spellings(t):
+    """Exponents before a unit, words with an E, numbers beyond all doubles."""
+    raw = t.raw("NUMERO DE ACEPTACION", "ITEM", "PESO BRUTO").withColumn("q", F.expr("nullif(`PESO BRUTO`, '')"))
+    spelled = F.expr(SPELLED.replace('"ITEM"', "ITEM"))
+    raw = raw.withColumn("spelled", spelled)
+    return raw.select(*key(), "spelled", C.amount_or_null(raw, "spelled").alias("amount"))
+
+
 @query("p4_positive_fob", f'SELECT {KEY_SQL}, "FOB_CLEAN" AS fob FROM clean')
 def p4(t):
     return lines(t, "US$ FOB").select(*key(), F.col("FOB_CLEAN").alias("fob"))

@@ -50,18 +50,25 @@ def s1(t):
     return export_files.read_csv(t.spark, path, ALL_COLUMNS)
 
 
-@query(
-    "s2_scan_processed",
-    """SELECT "YEAR", "MES", "FOB_CLEAN", "PAIS_DESTINO_CLEAN", "EXPORT_SIZE_CATEGORY"
-       FROM clean WHERE "YEAR" >= 2019""",
-)
-def s2(t):
+PROCESSED = ("YEAR", "MES", "FOB_CLEAN", "PAIS_DESTINO_CLEAN", "EXPORT_SIZE_CATEGORY")
+PROCESSED_SQL = f"SELECT {', '.join(PROCESSED)} FROM clean"
+
+
+def processed(t):
     path = new_folder(t.spark, "exports")
     tables.write_table(t.clean("YEAR", "MES", "US$ FOB", "PAIS DE DESTINO"), path, by="YEAR")
-    table = tables.read_table(t.spark, path).filter("YEAR >= 2019")
-    return table.select(
-        "YEAR", "MES", "FOB_CLEAN", "PAIS_DESTINO_CLEAN", "EXPORT_SIZE_CATEGORY"
-    )
+    return tables.read_table(t.spark, path).select(*PROCESSED)
+
+
+@query("s2_scan_processed", PROCESSED_SQL)
+def s2(t):
+    return processed(t)
+
+
+@query("s2_scan_later_years", f"{PROCESSED_SQL} WHERE YEAR >= 2019")
+def s2_later(t):
+    """Of the stored table only the folders of these years are read."""
+    return processed(t).filter("YEAR >= 2019")
 
 
 @query("s3_mixed_encodings", f"SELECT {FILE_SQL} FROM raw")
@@ -182,6 +189,13 @@ def s11_stops(t):
     return panel.years_until_enough(rows, 20).select("country_code", "year", "gdp_value")
 
 
+@query("s11_years_from_folders", FALLBACK_SQL.format(enough=20))
+def s11_folders(t):
+    """The same from pages, of which those of earlier years are not opened."""
+    found = gdp_files.read_until_enough(t.spark, pages(t), 20)
+    return found.select("country_code", "year", "gdp_value")
+
+
 @query("s12_years_together", "SELECT * FROM flat_records")
 def s12(t):
     folder = pages(t)
@@ -329,7 +343,12 @@ def s24(t):
     return twice.groupBy("analysis_type").agg(F.count("*").alias("rows"))
 
 
-@query("s25_sample_rows")
+@query(
+    "s25_sample_rows",
+    """SELECT "YEAR", "MES", "PAIS_DESTINO_CLEAN", "PRODUCTO_CLEAN", "FOB_CLEAN", "EXPORT_SIZE_CATEGORY",
+         "REGION_ORIGEN_CLEAN" FROM clean
+       ORDER BY 1 NULLS FIRST, 2 NULLS FIRST, 3 NULLS FIRST, 4 NULLS FIRST, 5, 6, 7 NULLS FIRST LIMIT 10""",
+)
 def s25(t):
     return sample_rows(t.clean())
 

@@ -9,12 +9,16 @@ from .aggregates import MODELS, predictions_and_registry
 from .ctes import number
 from .registry import query
 
-LIMITED = ("US$ FOB", "PESO BRUTO", "PAIS DE DESTINO", "REGION DE ORIGEN", "YEAR")
-BEYOND = f"""CAST(coalesce(abs({number('"US$ FOB"')}) >= 1e13, FALSE) AS INT)
-    + CAST(coalesce(abs({number('"PESO BRUTO"')}) >= 1e12, FALSE) AS INT)
-    + CAST(coalesce(length("PAIS DE DESTINO") > 100, FALSE) AS INT)
-    + CAST(coalesce(length("REGION DE ORIGEN") > 100, FALSE) AS INT)
-    + CAST(coalesce(abs("YEAR") >= 2147483648, FALSE) AS INT)"""
+# All limited columns that the adapted lines have.
+LIMITED = ("US$ FOB", "PESO BRUTO", "PAIS DE DESTINO", "REGION DE ORIGEN", "YEAR", "MES", "DIA", "ITEM", "CANTIDAD",
+           "NUMERO DE ACEPTACION", "RUT PROBABLE EXPORTADOR")
+OVER = [
+    *[f"abs({number(name)}) >= {most}" for name, most in (('"US$ FOB"', "1e13"), ('"PESO BRUTO"', "1e12"), ('"CANTIDAD"', "1e12"))],
+    *[f"length({name}) > {most}" for name, most in (
+        ('"PAIS DE DESTINO"', 100), ('"REGION DE ORIGEN"', 100), ('"NUMERO DE ACEPTACION"', 50), ('"RUT PROBABLE EXPORTADOR"', 20))],
+    *[f'abs("{name}") >= 2147483648' for name in ("YEAR", "MES", "DIA", "ITEM")],
+]
+BEYOND = " + ".join(f"CAST(coalesce({one}, FALSE) AS INT)" for one in OVER)
 
 
 def check(check_id, value, source):
@@ -108,7 +112,7 @@ def dq11(t):
         WHERE {number('"US$ FOB"')} IS NULL OR {number('"US$ FOB"')} < 0""",
 )
 def issues(t):
-    found = Q.export_issues(t.raw("NUMERO DE ACEPTACION", "ITEM", "US$ FOB", "PAIS DE DESTINO"))
+    found = Q.export_issues(t.raw(*LIMITED))
     return found.select(
         "NUMERO DE ACEPTACION", "ITEM", "US$ FOB",
         F.concat_ws(",", "failed_checks").alias("failed_checks"),

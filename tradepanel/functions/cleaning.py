@@ -10,7 +10,9 @@ from ..constants import OTHER, REGION_GROUPS, SIZE_BANDS, SMALLEST_SIZE
 
 ACCENTED = "ÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇáàâäãåéèêëíìîïóòôöõúùûüñç"
 PLAIN = "AAAAAAEEEEIIIIOOOOOUUUUNCaaaaaaeeeeiiiiooooouuuunc"
-EXPONENT = r"(?<=[0-9.])[eE][+-]?[0-9]+(?=\s*$)"
+EXPONENT = r"(?<=[0-9.])[eE][+-]?[0-9]+"
+#: A text of so many characters without an exponent is a finite number, if it is one.
+SHORT_NUMBER = 300
 
 
 def named(name: str) -> Column:
@@ -23,21 +25,30 @@ def number_or_null(column: Column) -> Column:
     return column.try_cast("double")
 
 
+def finite(number: Column) -> Column:
+    """Null for infinity and for what is not a number."""
+    return F.when(F.abs(number) <= F.lit(1.7976931348623157e308), number)
+
+
 def amount_or_null(df: DataFrame, name: str) -> Column:
     """Text without currency signs and separators, as a number with its sign.
 
-    An exponent at the end counts. A column that is a number already is cast, never
-    spelled out first.
+    An exponent after the digits counts, and what follows it does not. A number beyond
+    all doubles is none. A column that is a number already is cast, never spelled out
+    first. Plain amounts, without an E, pay for one replacement only.
     """
-    if isinstance(df.schema[name].dataType, T.NumericType):
-        return named(name).cast("double")
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.NumericType):
+        number = named(name).cast("double")
+        return finite(number) if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType) else number
     text = named(name).cast("string")
 
     def digits(c):
         return F.regexp_replace(c, r"[^0-9.\-]+", "")
 
-    scaled = F.concat(digits(F.regexp_replace(text, EXPONENT, "")), F.regexp_extract(text, EXPONENT, 0))
-    return F.when(text.rlike(EXPONENT), scaled).otherwise(digits(text)).try_cast("double")
+    scaled = F.concat(digits(F.regexp_replace(text, EXPONENT + ".*$", "")), F.regexp_extract(text, EXPONENT, 0))
+    rare = F.contains(text, F.lit("E")) | F.contains(text, F.lit("e")) | (F.length(text) > SHORT_NUMBER)
+    return F.when(rare, finite(scaled.try_cast("double"))).otherwise(digits(text).try_cast("double"))
 
 
 def amount(df: DataFrame, name: str) -> Column:

@@ -163,6 +163,8 @@ def keep_columns(df: DataFrame, *names: str) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, rows: int = 10) -> DataFrame:
-    """A few rows to look at; the first ten columns if none of the usual exist."""
+    """A few rows to look at, the first by what is shown, so that every run shows the
+    same; the first ten columns if none of the usual exist."""
     wanted = [name for name in SAMPLE_COLUMNS if name in df.columns] or df.columns[:10]
-    return keep_columns(df, *wanted).limit(rows)
+    shown = keep_columns(df, *wanted)
+    return shown.orderBy(*[C.named(name) for name in shown.columns]).limit(rows)

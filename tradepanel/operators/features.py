@@ -162,9 +162,10 @@ def join_yearly_averages(panel: DataFrame, averages: DataFrame) -> DataFrame:
     )
 
 
-def short_features(panel: DataFrame, exports: DataFrame) -> DataFrame:
-    """22 features of the larger economies, the target and the keys."""
-    base = join_yearly_exports(major_economies(ml_rows(panel)), marts.yearly_features(exports))
+def short_features(panel: DataFrame, exports: DataFrame, **years: int) -> DataFrame:
+    """22 features of the larger economies, the target and the keys; ``first_year``
+    and ``last_year`` as in ``ml_rows``."""
+    base = join_yearly_exports(major_economies(ml_rows(panel, **years)), marts.yearly_features(exports))
     growth, ranking, gdp_bn = F.col("gdp_growth_rate"), F.col("ranking"), F.col(TARGET)
     wide = base.withColumns(
         {

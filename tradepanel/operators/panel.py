@@ -119,10 +119,10 @@ def with_audit(panel: DataFrame, processed_at: datetime) -> DataFrame:
     return panel.withColumns({"created_at": at, "updated_at": at, "processed_at": at})
 
 
-def ml_rows(panel: DataFrame) -> DataFrame:
-    """P29."""
+def ml_rows(panel: DataFrame, first_year: int = FIRST_ML_YEAR, last_year: int = LAST_ML_YEAR) -> DataFrame:
+    """The rows of the years to learn from."""
     return panel.filter(
-        (F.col("gdp_value") > 0) & F.col("year").between(FIRST_ML_YEAR, LAST_ML_YEAR)
+        (F.col("gdp_value") > 0) & F.col("year").between(first_year, last_year)
     ).select(
         "country_code", "country_name", "year", "gdp_value", "ranking", "gdp_growth_rate",
         "gdp_billion_usd", "log_gdp",

@@ -31,10 +31,9 @@ def pre_aggregate(lines: DataFrame, keys: list[Column], **amounts: tuple[Column,
     sums = [F.count(F.lit(1)).alias(ROWS)]
     for name, (value, scale) in amounts.items():
         exact, beyond, values = _parts(name)
-        decimal = value.try_cast(f"decimal(28,{scale})")
         sums += [
-            F.sum(decimal).alias(exact),
-            F.sum(F.when(decimal.isNull(), value.cast("double"))).alias(beyond),
+            F.sum(value.try_cast(f"decimal(28,{scale})")).alias(exact),
+            F.sum(F.when(F.abs(value) >= F.lit(10.0 ** (28 - scale)), value.cast("double"))).alias(beyond),
             F.count(value).alias(values),
         ]
     return stored(lines.groupBy(*keys).agg(*sums), "pre-aggregate")

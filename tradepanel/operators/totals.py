@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 
 def total(column: Column, scale: int = 2) -> Column:
-    exact = column.try_cast(f"decimal(28,{scale})")
-    within = F.sum(exact).cast("double")
-    beyond = F.sum(F.when(exact.isNull(), column.cast("double")))
+    large = F.abs(column) >= F.lit(10.0 ** (28 - scale))
+    within = F.sum(column.try_cast(f"decimal(28,{scale})")).cast("double")
+    beyond = F.sum(F.when(large, column.cast("double")))
     return F.coalesce(within + beyond, within, beyond)
 
 
