@@ -6,9 +6,11 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as C
+from ..operators.exports import filter_in
 from ..plans import exports as job
 from ..session import new_folder
 from ..sources import export_files, tables
+from ..streaming import loads
 from .adapter import RUN_AT
 from .ctes import number, total
 from .registry import query
@@ -177,3 +179,33 @@ for _mart, _table in (("monthly", "monthly_exports_by_country"), ("regional", "r
 @query("a28_analytics_of_loads", "SELECT * FROM export_analytics")
 def analytics_of_loads(t):
     return tables.read_table(t.spark, f"{two_runs(t)}/export_analytics")
+
+
+@query(
+    "x1_streamed_load",
+    """SELECT "NUMERO DE ACEPTACION", CAST("ITEM" AS VARCHAR) AS "ITEM", CAST("YEAR" AS VARCHAR) AS "YEAR",
+         "US$ FOB" FROM raw""",
+)
+def x1_streamed(t):
+    """Files of two layouts and encodings arrive in two runs of a stream; every batch is a
+    load."""
+    folder, warehouse = new_folder(t.spark, "landing"), new_folder(t.spark, "streamed")
+    lines = t.raw("NUMERO DE ACEPTACION", "ITEM", "YEAR", "US$ FOB", "PAIS DE DESTINO")
+    late = lines.where("YEAR > 2020").select(*[C.named(c) for c in reversed(lines.columns)])
+    for name, part, encoding in (("early", lines.where("YEAR <= 2020"), "UTF-8"), ("late", late, "ISO-8859-1")):
+        tables.write_csv(part, f"{folder}/{name}", encoding=encoding)
+        loads.load_available(t.spark, folder, warehouse, f"{warehouse}/checkpoint", RUN_AT).awaitTermination()
+    return job.current(t.spark, warehouse, "raw_exports").select(*[C.named(c) for c in lines.columns[:4]])
+
+
+@query(
+    "p19_clustered_destinations",
+    """SELECT "YEAR", "PAIS_DESTINO_CLEAN", "FOB_CLEAN" FROM clean
+       WHERE "PAIS_DESTINO_CLEAN" IN ('NATION C', 'NATION Q')""",
+)
+def p19_clustered(t):
+    """Two destinations from the layout that the job writes, of which a small part is read."""
+    rows = tables.clustered(t.clean("YEAR", "US$ FOB", "PAIS DE DESTINO"), "PAIS_DESTINO_CLEAN", "YEAR")
+    path = tables.write_table(rows, new_folder(t.spark, "clustered"), by="YEAR", even=False)
+    found = filter_in(tables.read_table(t.spark, path), "PAIS_DESTINO_CLEAN", ["NATION C", "NATION Q"])
+    return found.select("YEAR", "PAIS_DESTINO_CLEAN", "FOB_CLEAN")

@@ -11,8 +11,8 @@ from ..operators import marts, quality
 from ..operators.exports import clean_exports, with_audit
 from ..operators.totals import total
 from ..sources import folders, manifest
-from ..sources.export_files import MALFORMED, malformed_rows, read_files
-from ..sources.tables import observed_write, read_table, replace_partitions, stored, write_table
+from ..sources.export_files import MALFORMED, landed_files, malformed_rows, read_files
+from ..sources.tables import clustered, observed_write, read_table, replace_partitions, stored, write_table
 
 # The marts, and the columns that a table must have for each. Every mart has a YEAR, so
 # that a load changes only the years of its rows. The last two share a pre-aggregate.
@@ -91,56 +91,64 @@ def stored_years(spark: SparkSession, path: str, by: str = "YEAR") -> set:
 
 
 def run(spark: SparkSession, landing: str, warehouse: str, run_at: datetime) -> DataFrame:
-    """The whole job; returns the checks of this load.
-
-    Only files that no earlier load has met are read, once; their rows are added to the
-    raw and the clean table as a load of their own, and only the marts of their years are
-    computed anew. A file that comes again with other content takes the place of its
-    earlier rows. What the write of the rows has counted makes up checks and statistics.
-    The manifest comes last: a run that fails before it can be repeated, and a repeated
-    run gives the same tables.
+    """The whole job over the files of a folder that are new; returns the checks of this
+    load. A folder without any good file, and no earlier load, is an error."""
+    load = manifest.load_id(run_at)
+    earlier = manifest.read_manifest(spark, f"{warehouse}/manifest").where(F.col("LOAD") != load)
+    fresh = manifest.changed_files(landed_files(spark, landing), earlier)
+    checks = load_files(spark, fresh, warehouse, load, run_at)
+    if manifest.read_manifest(spark, f"{warehouse}/manifest").where(F.col("status") == manifest.LOADED).isEmpty():
+        raise ValueError(f"no file in {landing} has both a FOB and a destination column")
+    return checks
+
+
+def load_files(spark: SparkSession, fresh: DataFrame, warehouse: str, load: str, run_at: datetime) -> DataFrame:
+    """One load of the given files (file, size, modified); returns its checks.
+
+    The files are read once; their rows are added to the raw and the clean table as a
+    load of their own, and only the marts of their years are computed anew. A file that
+    comes again with other content takes the place of its earlier rows. What the write of
+    the rows has counted makes up checks and statistics. The manifest comes last: a load
+    that fails before it can be repeated, and a repeated load gives the same tables.
     """
-    load, paths = manifest.load_id(run_at), {name: f"{warehouse}/{name}" for name in ("raw_exports", "exports", "manifest")}
-    earlier = manifest.read_manifest(spark, paths["manifest"]).where(F.col("LOAD") != load)
-    earlier = stored(earlier, "manifest")
-    changes = manifest.inspect_changes(spark, landing, earlier, load)
+    earlier = stored(manifest.read_manifest(spark, f"{warehouse}/manifest").where(F.col("LOAD") != load), "manifest")
+    changes = manifest.inspect_changes(spark, fresh, earlier, load)
     files = changes.where(F.col("status") == manifest.LOADED)
-    known = earlier.unionByName(manifest.entries(changes))
-    if files.isEmpty():
-        if earlier.where(F.col("status") == manifest.LOADED).isEmpty():
-            raise ValueError(f"no file in {landing} has both a FOB and a destination column")
-        counts = {"records": 0, "invalid_fob": 0, "beyond_limits": 0, "destinations": 0, "files": 0}
-    else:
-        counts = _load(spark, files, known, warehouse, paths, load, run_at)
-    manifest.commit(changes, paths["manifest"], load)
+    counts = {"records": 0, "invalid_fob": 0, "beyond_limits": 0, "destinations": 0, "files": 0}
+    if not files.isEmpty():
+        counts |= _load(spark, files, earlier.unionByName(manifest.entries(changes)), warehouse, load, run_at)
+    manifest.commit(changes, f"{warehouse}/manifest", load)
     statistics = spark.createDataFrame([{"LOAD": load} | counts], STATISTICS)
     manifest.write_load(statistics, f"{warehouse}/load_statistics", load)
-    checks = quality.as_export_checks(statistics)
-    write_table(checks, f"{warehouse}/export_checks")
+    write_table(quality.as_export_checks(statistics), f"{warehouse}/export_checks")
     return read_table(spark, f"{warehouse}/export_checks")
 
 
-def _load(spark, files: DataFrame, known: DataFrame, warehouse: str, paths: dict, load: str, run_at: datetime) -> dict:
+def _load(spark, files: DataFrame, known: DataFrame, warehouse: str, load: str, run_at: datetime) -> dict:
     """Write the rows of new files and the marts of their years; returns what was counted."""
+    own = {name: f"{warehouse}/{name}/LOAD={load}" for name in ("raw_exports", "exports", "malformed_records")}
     raw = read_files(spark, files, run_at, malformed=True)
-    measures = quality.export_measures(raw)
     extracted = {"first_extraction": F.min("EXTRACTION_DATE"), "last_extraction": F.max("EXTRACTION_DATE")}
-    counts = observed_write(raw, f"{paths['raw_exports']}/LOAD={load}", **measures, **extracted)
-    counts["files"] = files.count()
-    raw = read_table(spark, f"{paths['raw_exports']}/LOAD={load}")
-    counts["destinations"] = raw.select(quality.known_destination().alias("name")).dropna().distinct().count()
-    write_table(malformed_rows(raw), f"{warehouse}/malformed_records/LOAD={load}")
+    counts = observed_write(raw, own["raw_exports"], **quality.export_measures(raw), **extracted)
+    raw = read_table(spark, own["raw_exports"])
+    names = raw.select(quality.known_destination().alias("name")).dropna().distinct()
+    counts |= {"files": files.count(), "destinations": names.count()}
+    write_table(malformed_rows(raw), own["malformed_records"])
     clean = with_audit(clean_exports(raw.drop(MALFORMED)), run_at)
     by = "YEAR" if "YEAR" in raw.columns else None
-    own = f"{paths['exports']}/LOAD={load}"
-    seen = observed_write(clean, own, by=by, clean_records=F.count(F.lit(1)), total_fob_usd=total(F.col("FOB_CLEAN")))
+    # Questions are asked by year and destination.
+    clean = clustered(clean, "PAIS_DESTINO_CLEAN", by)
+    measures = {"clean_records": F.count(F.lit(1)), "total_fob_usd": total(F.col("FOB_CLEAN"))}
+    counts |= observed_write(clean, own["exports"], by=by, even=False, **measures)
     if by:
-        years = {row.YEAR for row in read_table(spark, own).select("YEAR").distinct().collect()}
-        replaced = stored(manifest.superseded(known).join(files.select(F.col("file").alias("SOURCE_PATH")), "SOURCE_PATH"), "replaced")
+        years = {row.YEAR for row in read_table(spark, own["exports"]).select("YEAR").distinct().collect()}
+        again = files.select(F.col("file").alias("SOURCE_PATH"))
+        replaced = stored(manifest.superseded(known).join(again, "SOURCE_PATH"), "replaced")
         loads = [row.LOAD for row in replaced.select("LOAD").distinct().collect()]
         if loads:
-            old = read_table(spark, paths["exports"]).where(F.col("LOAD").isin(loads))
+            old = read_table(spark, f"{warehouse}/exports").where(F.col("LOAD").isin(loads))
             old = old.join(replaced, ["LOAD", "SOURCE_PATH"], "left_semi")
             years |= {row.YEAR for row in old.select("YEAR").distinct().collect()}
-        build_marts(manifest.current_table(spark, paths["exports"], known), warehouse, sorted(years, key=str))
-    return counts | seen
+        exports = manifest.current_table(spark, f"{warehouse}/exports", known)
+        build_marts(exports, warehouse, sorted(years, key=str))
+    return counts

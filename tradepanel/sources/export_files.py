@@ -98,7 +98,7 @@ def header_fields(line: Column) -> Column:
     return F.transform(fields, lambda field: F.trim(plain(field)))
 
 
-def inspect_files(spark: SparkSession, path: str, files=None) -> DataFrame:
+def inspect_files(spark: SparkSession, path: str | None = None, files: list[str] | None = None) -> DataFrame:
     """Per file its header, encoding, layout, content and whether it is admitted.
 
     The lines are read as bytes by splits, so that large files are shared among
@@ -106,7 +106,7 @@ def inspect_files(spark: SparkSession, path: str, files=None) -> DataFrame:
     Latin-1. A field spans lines only if some line has an odd number of quotes.
     The first line is the lowest in the file's first split. ``content`` is made of sums
     of hashes of the lines, and so is the same for copies. ``reason`` says why a file is
-    refused. With ``files`` only these are read.
+    refused. Instead of a path, ``files`` names the files to read.
     """
     if files is not None and not files:
         lines = spark.createDataFrame([], "file string, at struct<start: bigint, line: bigint>, value string")

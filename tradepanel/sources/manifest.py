@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .export_files import inspect_files, landed_files
+from .export_files import inspect_files
 from .folders import exists
 from .tables import stored, write_table
 
@@ -39,16 +39,16 @@ def changed_files(listed: DataFrame, manifest: DataFrame) -> DataFrame:
     return listed.join(known, ["file", "size", "modified"], "left_anti")
 
 
-def inspect_changes(spark: SparkSession, landing: str, manifest: DataFrame, load: str) -> DataFrame:
+def inspect_changes(spark: SparkSession, fresh: DataFrame, earlier: DataFrame, load: str) -> DataFrame:
     """The new manifest rows of a load, with what ``inspect_files`` found; stored.
 
-    Only changed files are read. A file with the content of one that was loaded before,
-    or of an earlier one (by path) in this load, is a repeat: a copy is loaded once.
+    ``fresh`` are the files to look at: only these are read. A file with the content of
+    one that was loaded before, or of another one (by path) in this load, is a repeat: a
+    copy is loaded once.
     """
-    earlier = manifest.where(F.col("LOAD") != load)
-    fresh = stored(changed_files(landed_files(spark, landing), earlier), "fresh-files")
+    fresh = stored(fresh.select("file", "size", "modified"), "fresh-files")
     paths = [row.file for row in fresh.select("file").toLocalIterator()]
-    seen = inspect_files(spark, landing, paths)
+    seen = inspect_files(spark, files=paths)
     found = fresh.join(seen, "file")
     known = earlier.where(F.col("status") == LOADED).select("content").distinct().withColumn("known", F.lit(True))
     copies = Window.partitionBy("content", "valid").orderBy("file")
