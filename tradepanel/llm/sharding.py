@@ -4,11 +4,11 @@
    proportion to its size, so that sampled keys stand for equal numbers of bytes.
 2. Quantiles of the sample are the boundaries of key ranges, ``RANGES`` for each shard.
    A boundary inside a group of equal texts moves to the group's start, unless the
-   group alone fills half a range: only such a group is divided, by doc_id.
+   group alone is larger than a shard: only such a group is divided, by doc_id.
 3. Bytes of each range are then counted exactly. Overfull ranges get a sample and
-   boundaries of their own, until none can be divided any further.
-4. Ranges in order go to shards by the exact running total. A record's slot is its
-   place in its range plus the records of the shard's ranges before.
+   boundaries of their own, in up to ``ROUNDS`` rounds.
+4. Ranges, the largest first, go to the shard that has the fewest bytes so far. A
+   record's slot is its place in its range plus the records of the shard's ranges before.
 
 The driver sees the sample and one row per range, both of fixed size, whatever the
 input. Only keys and sizes are shuffled, never texts.
@@ -16,6 +16,7 @@ input. Only keys and sizes are shuffled, never texts.
 
 from __future__ import annotations
 
+import heapq
 from bisect import bisect_left
 
 import numpy as np
@@ -55,19 +56,29 @@ def _sample(keys: DataFrame, wanted: int, total: int, seed: int) -> list[tuple[i
     return sorted((r.group__, r.id__, max(float(r.size), total / wanted)) for r in rows)
 
 
-def _boundaries(sample: list[tuple[int, int, float]], parts: int) -> list[Key]:
-    """Keys at equal steps of sampled bytes, at group starts where the group is small."""
+def _larger_than_a_shard(keys: DataFrame, sample: list[tuple[int, int, float]], shard: float) -> set[int]:
+    """Groups of equal texts that no shard holds. Those that the sample gives half a
+    shard, a few for each shard at most, are counted exactly."""
+    weight: dict[int, float] = {}
+    for group, _, size in sample:
+        weight[group] = weight.get(group, 0.0) + size
+    heavy = [group for group, size in weight.items() if size > shard / 2]
+    if not heavy:
+        return set()
+    exact = keys.where(F.col("group__").isin(heavy)).groupBy("group__").agg(F.sum("size").alias("size"))
+    return {row.group__ for row in exact.where(F.col("size") > shard).collect()}
+
+
+def _boundaries(sample: list[tuple[int, int, float]], parts: int, divided: set[int]) -> list[Key]:
+    """Keys at equal steps of sampled bytes, at group starts but in ``divided`` groups."""
     if not sample or parts < 2:
         return []
     running = np.cumsum([x[2] for x in sample])
     share = running[-1] / parts
-    weight: dict[int, float] = {}
-    for group, _, size in sample:
-        weight[group] = weight.get(group, 0.0) + size
     found = set()
     for step in range(1, parts):
         group, own, _ = sample[int(np.searchsorted(running, step * share))]
-        found.add((group, own if weight[group] > share / 2 else FIRST))
+        found.add((group, own if group in divided else FIRST))
     return sorted(found)
 
 
@@ -93,7 +104,9 @@ def _ranges(keys: DataFrame, shards: int) -> tuple[list[Key], dict[int, tuple[in
     """Boundaries, and (bytes, records) by range."""
     total = keys.agg(F.sum("size")).first()[0] or 0
     parts = shards * RANGES
-    boundaries: list[Key] = _boundaries(_sample(keys, parts * SAMPLED, total, 0), parts) if total else []
+    sample = _sample(keys, parts * SAMPLED, total, 0) if total else []
+    divided = _larger_than_a_shard(keys, sample, total / shards)
+    boundaries = _boundaries(sample, parts, divided)
     for seed in range(1, ROUNDS + 1):
         counted = _with_range(keys, boundaries).groupBy("range__").agg(F.sum("size"), F.count("*"), F.max("size"))
         rows = {r[0]: r[1:] for r in counted.collect()}
@@ -106,7 +119,7 @@ def _ranges(keys: DataFrame, shards: int) -> tuple[list[Key], dict[int, tuple[in
         for r, size in full.items():
             low = bisect_left(drawn, (*boundaries[r - 1], 0.0)) if r else 0
             high = bisect_left(drawn, (*boundaries[r], 0.0)) if r < len(boundaries) else len(drawn)
-            more |= set(_boundaries(drawn[low:high], int(np.ceil(size * parts / total))))
+            more |= set(_boundaries(drawn[low:high], int(np.ceil(size * parts / total)), divided))
         if more == set(boundaries):
             break
         boundaries = sorted(more)
@@ -116,9 +129,9 @@ def _ranges(keys: DataFrame, shards: int) -> tuple[list[Key], dict[int, tuple[in
 def shard(df: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str = "text", keep_text: bool = True) -> DataFrame:
     """Add size, text_crc32, shard (0 to shards - 1) and slot (gapless in its shard).
 
-    Shards hold nearly equal bytes; they differ by a range (1/64 of a shard) or by one
-    record that is larger. Equal texts are in one shard, unless they fill more than half
-    a range, when they are divided by key. Slots follow (hash of the text, key); rows
+    Shards hold nearly equal bytes; they differ by a range (1/64 of a shard), or by one
+    record or group of equal texts that is larger. Equal texts are in one shard, unless
+    they are larger than a shard, when they are divided by key. Slots follow (hash of the text, key); rows
     that are equal in both, and without a key, get their slots in any order. Columns
     of these names are replaced. ``keep_text=False`` leaves the text out, so that only
     keys are shuffled. An empty table gives an empty one.
@@ -142,13 +155,14 @@ def shard(df: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str =
 
 
 def _placed(counted: dict[int, tuple[int, int]], shards: int) -> list[tuple[int, int, int]]:
-    """(range, shard, records of the shard before it): ranges by the middle of their bytes."""
-    total = sum(size for size, _ in counted.values())
-    running, records, table = 0, [0] * shards, []
+    """(range, shard, records of the shard before it)."""
+    filled = [(0, number) for number in range(shards)]
+    place = {}
+    for number in sorted(counted, key=lambda r: (-counted[r][0], r)):
+        size, place[number] = heapq.heappop(filled)
+        heapq.heappush(filled, (size + counted[number][0], place[number]))
+    records, table = [0] * shards, []
     for number in sorted(counted):
-        size, rows = counted[number]
-        own = min(shards - 1, int((running + size / 2) * shards / total))
-        table.append((number, own, records[own]))
-        records[own] += rows
-        running += size
+        table.append((number, place[number], records[place[number]]))
+        records[place[number]] += counted[number][1]
     return table
