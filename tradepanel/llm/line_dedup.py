@@ -37,9 +37,13 @@ def line_words(line: Column) -> Column:
     return F.filter(F.split(F.lower(line), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
+#: A line's place. Texts of one doc_id are told apart by their hashes.
+PLACE = ("doc_id", "line_no", "text_hash")
+
+
 def _lines(rows: DataFrame, min_words: int, equal_words: int) -> DataFrame:
     """Lines that take part: place, hash of the words, hashes of halves (null in short lines)."""
-    lines = rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    lines = rows.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
     def facts(words: Column) -> Column:
         size = F.size(words)
@@ -63,7 +67,7 @@ def _lines(rows: DataFrame, min_words: int, equal_words: int) -> DataFrame:
         )
 
     found = lines.withColumn("f", let(line_words(F.col("line")), facts)).where(F.col("f.size") >= min(min_words, equal_words))
-    return found.select("doc_id", "line_no", "f.h", "f.g", "f.halves")
+    return found.select("doc_id", "line_no", "text_hash", "f.h", "f.g", "f.halves")
 
 
 def _variants(words: Column) -> Column:
@@ -88,23 +92,23 @@ def _variants(words: Column) -> Column:
 
 def _near_lines(firsts: DataFrame, rows: DataFrame) -> DataFrame:
     """(first, keeper): first lines with an earlier near one, and the earliest of those."""
-    wanted = stored(firsts.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "h", "g")).alias("own")), "near-docs")
+    wanted = stored(firsts.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("line_no", "h", "g")).alias("own")), "near-docs")
 
     def own_lines(said: Column) -> Column:
         return F.transform(
             "own", lambda o: F.struct(o.line_no.alias("line_no"), o.h.alias("h"), o.g.alias("g"), F.get(said, o.line_no).alias("line"))
         )
 
-    found = marked_present(rows, "doc_id", wanted.select("doc_id")).where("maybe__").drop("maybe__").join(wanted, "doc_id")
-    found = found.select("doc_id", F.explode(let(F.split("text", "\n"), own_lines)).alias("l"))
-    found = found.select("doc_id", "l.line_no", "l.h", "l.g", line_words(F.col("l.line")).alias("words"))
-    # rows of one doc_id with different texts: the hash tells which is meant
+    found = marked_present(rows, "doc_id", wanted.select("doc_id")).where("maybe__").drop("maybe__").join(wanted, ["doc_id", "text_hash"])
+    found = found.select("doc_id", "text_hash", F.explode(let(F.split("text", "\n"), own_lines)).alias("l"))
+    found = found.select(*["doc_id", "l.line_no", "text_hash"], "l.h", "l.g", line_words(F.col("l.line")).alias("words"))
     texts = found.where((F.xxhash64("words") == F.col("h")) & (F.xxhash64(F.lit(1), F.col("words")) == F.col("g")))
-    texts = stored(texts.select("doc_id", "line_no", "words").dropDuplicates(["doc_id", "line_no"]), "near-lines")
-    keys = texts.select("doc_id", "line_no", F.inline(_variants(F.col("words"))))
-    bounds = [F.min("doc_id").alias("d1"), F.max("doc_id").alias("d2"), F.min("line_no").alias("l1"), F.max("line_no").alias("l2")]
-    met = keys.groupBy("key").agg(*bounds).where("d1 < d2 or l1 < l2").select("key")
-    place = F.struct("doc_id", "line_no").alias("line")
+    texts = stored(texts.select(*PLACE, "words").dropDuplicates(PLACE), "near-lines")
+    keys = texts.select(*PLACE, F.inline(_variants(F.col("words"))))
+    bounds = [least(name).alias(f"{kind}_{name}") for name in PLACE for kind, least in (("low", F.min), ("high", F.max))]
+    several = " or ".join(f"low_{name} < high_{name}" for name in PLACE)
+    met = keys.groupBy("key").agg(*bounds).where(several).select("key")
+    place = F.struct(*PLACE).alias("line")
     keys = stored(keys.join(met, "key", "left_semi").select("key", "p", place), "variants")
     deleted, full = keys.where("p >= 0"), keys.where("p < 0").drop("p")
     replaced = deleted.groupBy("key", "p").agg(F.min("line").alias("first"))
@@ -134,24 +138,28 @@ def _within_one_edit(a: Column, b: Column) -> Column:
 def repeated_lines(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, near: bool = True, equal_words: int = 1
 ) -> DataFrame:
-    """(doc_id, line_no, keeper_doc_id, keeper_line_no, edits): the lines that go.
+    """(doc_id, line_no, text_hash, keeper_doc_id, keeper_line_no, edits): the lines that go.
 
     ``keeper`` is the earliest line that is equal (edits 0) or, if that is earlier,
     near (edits 1). Lines count from 0 and end at line feeds. Lines of fewer than
     ``min_words`` words have no near ones, and those of fewer than ``equal_words``
-    (and ``min_words``) no equal ones either; a line without a word stays. Repeated rows of one document are that document; a row
-    without a doc_id is left as it is. Empty texts and tables give no rows.
+    (and ``min_words``) no equal ones either; a line without a word stays. Repeated rows
+    of one document are that document; rows of one doc_id with different texts, which
+    ``text_hash`` tells apart, are several, of which a line with the smaller hash is
+    earlier at the same number. A row without a doc_id is left as it is. Empty texts and
+    tables give no rows.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null and text is not null")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
+    rows = rows.where("doc_id is not null and text is not null")
     lines = stored(_lines(rows, min_words, max(1, equal_words)), "lines")
     repeated = lines.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h")
-    place = F.struct("doc_id", "line_no")
+    place = F.struct(*PLACE)
     if near:
         halves = lines.select("h", F.explode("halves").alias("half"))
         met = halves.groupBy("half").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low < high")
         alike = stored(halves.join(met.select("half"), "half", "left_semi").select("h").distinct(), "alike")
         repeated = repeated.union(alike).distinct()
-    own = stored(lines.select("doc_id", "line_no", "h", "g").join(repeated, "h", "left_semi"), "own-lines")
+    own = stored(lines.select(*PLACE, "h", "g").join(repeated, "h", "left_semi"), "own-lines")
     firsts = stored(own.groupBy("h", "g").agg(F.min(place).alias("first")), "first-lines")
     marked = own.join(firsts, ["h", "g"])
     if near:
@@ -159,11 +167,10 @@ def repeated_lines(
         marked = marked.join(_near_lines(chosen, rows), "first", "left")
     else:
         marked = marked.withColumn("keeper", F.lit(None).cast(marked.schema["first"].dataType))
-    goes = (F.struct("doc_id", "line_no") != F.col("first")) | F.col("keeper").isNotNull()
+    goes = (place != F.col("first")) | F.col("keeper").isNotNull()
     found = marked.where(goes).withColumn("at", F.coalesce("keeper", "first"))
     return found.select(
-        "doc_id",
-        "line_no",
+        *PLACE,
         F.col("at.doc_id").alias("keeper_doc_id"),
         F.col("at.line_no").alias("keeper_line_no"),
         F.when(F.col("keeper").isNotNull(), 1).otherwise(0).alias("edits"),
@@ -179,12 +186,13 @@ def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str =
     """
     repeated = repeated_lines(docs, doc_id, text, **options)
     entry = F.struct("line_no", "keeper_doc_id", "keeper_line_no", "edits")
-    gone = repeated.groupBy(F.col("doc_id").alias("id__")).agg(F.array_sort(F.collect_list(entry)).alias("dropped"))
+    gone = repeated.groupBy(F.col("doc_id").alias("id__"), F.col("text_hash").alias("hash__")).agg(F.array_sort(F.collect_list(entry)).alias("dropped"))
     gone = stored(gone, "gone-lines")
     nothing = F.array().cast("array<struct<line_no:int,keeper_doc_id:bigint,keeper_line_no:int,edits:int>>")
     both = marked_present(docs.drop("dropped"), doc_id, gone.select("id__"))
     untouched = both.where(~F.coalesce("maybe__", F.lit(False))).withColumn("dropped", nothing)
-    joined = both.where("maybe__").join(gone, F.col(doc_id) == F.col("id__"), "left").drop("id__")
+    same = (F.col(doc_id) == F.col("id__")) & (F.xxhash64(text) == F.col("hash__"))
+    joined = both.where("maybe__").join(gone, same, "left").drop("id__", "hash__")
     kept = let(
         F.col("dropped.line_no"),
         lambda numbers: F.filter(F.split(F.col(text), "\n"), lambda _, i: ~F.array_contains(numbers, i)),

@@ -84,16 +84,16 @@ WITH lines AS (
   SELECT doc_id, line_no, regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+') AS w FROM lines
 ), said AS (
   SELECT doc_id, line_no, w, array_to_string(w, ' ') AS s, struct_pack(d := doc_id, l := line_no) AS pos
-  FROM worded WHERE len(w) >= 8
+  FROM worded WHERE len(w) >= 1
 ), firsts AS (
   SELECT s, min(pos) AS pos, any_value(w) AS w FROM said GROUP BY s
 ), variants AS (
   SELECT s, pos, p, len(w) - 1 AS n, array_to_string(list_concat(w[1 : p - 1], w[p + 1 :]), ' ') AS v
-  FROM (SELECT s, pos, w, unnest(range(1, len(w) + 1)) AS p FROM firsts)
+  FROM (SELECT s, pos, w, unnest(range(1, len(w) + 1)) AS p FROM firsts WHERE len(w) >= 8)
 ), near AS (
   SELECT x.s, y.pos FROM variants x JOIN variants y ON x.v = y.v AND x.p = y.p AND x.n = y.n AND y.pos < x.pos
-  UNION ALL SELECT x.s, y.pos FROM variants x JOIN firsts y ON x.v = y.s AND y.pos < x.pos
-  UNION ALL SELECT y.s, x.pos FROM variants x JOIN firsts y ON x.v = y.s AND x.pos < y.pos
+  UNION ALL SELECT x.s, y.pos FROM variants x JOIN firsts y ON x.v = y.s AND len(y.w) >= 8 AND y.pos < x.pos
+  UNION ALL SELECT y.s, x.pos FROM variants x JOIN firsts y ON x.v = y.s AND len(y.w) >= 8 AND x.pos < y.pos
 ), earliest AS (
   SELECT s, min(pos) AS keeper FROM near GROUP BY s
 ), gone AS (
