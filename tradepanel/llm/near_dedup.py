@@ -4,7 +4,7 @@
    ``SAMPLES`` MinHash values. Bands of them are hashed into keys. All values together
    are folded into an odd sketch: every (position, value) flips one bit, so the XOR of
    two sketches counts, but for collisions, the positions in which the two differ.
-2. Equal sets are one node. Nodes that share a band key are candidates. With 32 bands
+2. Equal sets are one node, named by 64 bits of their hash. Nodes that share a band key are candidates. With 32 bands
    of 4 values a pair at the similarity 0.85 is missed with probability 6e-11.
 3. Candidates are filtered by their odd sketches, and then by a second parity bitmap,
    of the whole set: two sets differ in at least as many shingles as their bitmaps in
@@ -263,39 +263,43 @@ class _Search:
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = LINK_PERCENT
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``.
+    """(doc_id, n_shingles, component_id, kept, text_hash), one row per row of ``docs``.
 
     Two texts are linked if 100 * |intersection| >= percent * |union| of their shingle
     sets. ``component_id`` is the smallest doc_id reachable, ``kept`` says that it is
     the row's own. An empty text (null, or without words) is linked with nothing.
-    Rows of one doc_id are one document: equal texts count once; of different ones, the
-    one whose set hashes lowest is compared. A row without a doc_id is in the component
+    Rows are compared by their sets alone, so several texts of one doc_id are several
+    nodes, each with links of its own; ``text_hash`` tells them apart. A row without a doc_id is in the component
     of the rows with its set, and is kept only if none of them has an id. Ids are
     integers. An empty table gives an empty one.
     """
     signed = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    signed = signed.withColumn("s", signature(F.col("text"))).select("doc_id", "s.*")
+    signed = signed.select("doc_id", F.xxhash64("text").alias("text_hash"), signature(F.col("text")).alias("s"))
+    signed = signed.select("doc_id", "text_hash", "s.*")
     signed = stored(signed, "signatures")
     full = signed.where("n > 0")
-    nodes = stored(full.groupBy("set_key").agg(F.min("doc_id").alias("node")), "nodes")
-    known = nodes.where("node is not null").groupBy("node").agg(F.min("set_key").alias("set_key"))
-    first = full.withColumnRenamed("doc_id", "node").join(known, ["node", "set_key"], "left_semi")
-    first = first.dropDuplicates(["node", "set_key"])
+    nodes = full.groupBy("set_key").agg(F.min("doc_id").alias("least"))
+    nodes = stored(nodes.select("set_key", F.xxhash64("set_key").alias("node"), "least"), "nodes")
+    known = nodes.where("least is not null").select("set_key", "node", F.col("least").alias("doc_id"))
+    first = full.join(known, ["set_key", "doc_id"]).dropDuplicates(["set_key"])
     keys = first.select("node", F.explode("bands").alias("key"))
     counts = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     shared = stored(keys.join(counts, "key"), "shared-keys")
     found = _components(docs, doc_id, text, first, shared, percent)
-    result = signed.join(nodes, "set_key", "left")
     if found is None:
-        result = result.withColumn("component", F.lit(None).cast("bigint"))
+        named = nodes.select("set_key", F.col("least").alias("component"))
     else:
-        result = result.join(found, "node", "left")
-    component = F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("doc_id"))
+        labelled = stored(nodes.join(found, "node", "left").withColumn("label", F.coalesce("component", "node")), "labelled")
+        names = labelled.groupBy("label").agg(F.min("least").alias("name"))
+        named = labelled.join(names, "label").select("set_key", F.col("name").alias("component"))
+    result = signed.join(named, "set_key", "left")
+    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return result.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.col("doc_id").isNull() & component.isNull()).alias("kept"),
+        "text_hash",
     )
 
 
@@ -305,13 +309,13 @@ def _components(docs, doc_id: str, text: str, first: DataFrame, shared: DataFram
         return None
     score = shared.groupBy("node").agg(F.sum("members").alias("score"))
     shared = stored(shared.select("key", "node").join(score, "node"), "scored-keys")
-    wanted = first.select("node", "set_key", "n", "sketch").join(score.select("node"), "node", "left_semi")
+    wanted = first.select("node", "doc_id", "set_key", "n", "sketch").join(score.select("node"), "node", "left_semi")
     wanted = stored(wanted, "sketches")
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("node"), F.col(text).alias("text"))
-    rows = marked_present(rows, "node", wanted.select("node")).where("maybe__").select("node", "text")
-    rows = stored(rows.join(wanted.select("node"), "node", "left_semi"), "candidate-texts")
-    sets = rows.select("node", shingle_sets(F.col("text")).alias("s")).select("node", "s.*")
-    sets = sets.join(wanted.select("node", "set_key"), ["node", "set_key"], "left_semi").dropDuplicates(["node", "set_key"])
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    rows = marked_present(rows, "doc_id", wanted.select("doc_id")).where("maybe__").select("doc_id", "text")
+    rows = stored(rows.join(wanted.select("doc_id"), "doc_id", "left_semi"), "candidate-texts")
+    sets = rows.select("doc_id", shingle_sets(F.col("text")).alias("s")).select("doc_id", "s.*")
+    sets = sets.join(wanted.select("node", "doc_id", "set_key"), ["doc_id", "set_key"]).dropDuplicates(["set_key"])
     sets = stored(sets.select("node", "shingles", "parity"), "sets")
     bitmaps = wanted.select("node", "n", "sketch").join(sets.select("node", "parity"), "node")
     search = _Search(shared, stored(bitmaps, "bitmaps"), sets.select("node", "shingles"), percent)
