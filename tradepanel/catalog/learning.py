@@ -33,9 +33,23 @@ def m1(t):
     )
 
 
-@query("m2_scaling")
+def of_features(function: str) -> str:
+    values = [f"{function}(CAST({name} AS DOUBLE))" for name in SHORT_FEATURES]
+    return ", ".join(f"CASE WHEN {x} >= 1e9 THEN round({x} / 1e9, 6) ELSE round({x}, 4) END" for x in values)
+
+
+@query(
+    "m2_scaling",
+    f"""SELECT unnest([{", ".join(f"'{name}'" for name in SHORT_FEATURES)}]) AS feature,
+          unnest(means) AS mean, unnest(deviations) AS deviation
+        FROM (SELECT [{of_features("avg")}] AS means, [{of_features("stddev_samp")}] AS deviations
+              FROM ({SHORT_SQL}))""",
+)
 def m2(t):
-    return L.scaling_table(stored(t.short_features(), "features"), SHORT_FEATURES)
+    """Of the features as ``m17_short_features`` shows them; large numbers in billions."""
+    table = L.scaling_table(stored(comparable(t.short_features()), "features"), SHORT_FEATURES)
+    shown = lambda name: F.when(F.col(name) >= 1e9, F.round(F.col(name) / 1e9, 6)).otherwise(F.round(name, 4))
+    return table.withColumns({name: shown(name) for name in ("mean", "deviation")})
 
 
 CODED = ("country_code", "region", "economy_size")
