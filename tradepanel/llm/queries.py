@@ -47,14 +47,13 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose shingle sets are at least 0.85 alike."""
-    return near_dedup.near_duplicates(documents(spark, sf_dir))
+    return near_dedup.near_duplicates(documents(spark, sf_dir)).drop("text_hash")
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    found = bpe.encode(docs, WORD_BPE, ("n_tokens", "ids_sha256", "decoded_sha256"))
-    return found.drop("text")
+    outputs = ("n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.encode(documents(spark, sf_dir), WORD_BPE, outputs, keep=("doc_id",))
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,12 +99,9 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with the lines that go, each with its keeper, and what stays.
-
-    The check SQL leaves out lines of fewer than eight words, so this query does too.
-    """
+    """Every document with the lines that go, each with its keeper, and what stays."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    found = line_dedup.without_repeated_lines(docs, equal_words=line_dedup.MIN_WORDS)
+    found = line_dedup.without_repeated_lines(docs)
     entry = F.transform(
         "dropped", lambda d: F.concat_ws(":", d.line_no, d.keeper_doc_id, d.keeper_line_no, d.edits)
     )
