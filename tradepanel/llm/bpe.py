@@ -16,20 +16,27 @@ import hashlib
 import heapq
 import re
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
-from .common import Bounded, file_bytes
+from .common import BoundedBytes, file_bytes
 from .tokenizer_files import WHITE_SPACE, TokenizerFile
 
-#: Words and chunks of text that a worker keeps, at most.
-KEPT_WORDS = 300_000
+#: Bytes of encoded words and chunks of text that a worker keeps, about; more of them
+#: save time where a corpus has many different words.
+KEPT_BYTES = 192 << 20
+#: Bytes of text that are encoded before their results go on.
+SLICE_BYTES = 2 << 20
 #: Longer chunks are encoded anew each time.
 KEPT_CHARS = 64
 
@@ -45,12 +52,15 @@ OUTPUTS = {
 class Encoder:
     """Encodes and decodes texts for a tokenizer file that drops white space."""
 
-    def __init__(self, content: bytes):
+    def __init__(self, content: bytes, kept: int = KEPT_BYTES):
         self.file = TokenizerFile(content)
         self.word = regex.compile(self.file.pattern)
         self.blank = re.compile(f"[{WHITE_SPACE}]+")
-        self.words = Bounded(self._encode_word, KEPT_WORDS)
-        self.chunks = Bounded(self._encode_chunk, KEPT_WORDS)
+        # About what Python takes for a key, its place in the table and its value.
+        self.words = BoundedBytes(self._encode_word, kept // 4, lambda key, ids: 190 + len(key) + 30 * len(ids))
+        self.chunks = BoundedBytes(
+            self._encode_chunk, kept - kept // 4, lambda key, x: 270 + len(key) + len(x[1]) + len(x[2])
+        )
         letters, end = self.file.letters, self.file.word_end
         self.first = [self.file.ids.get(x) for x in letters]
         self.last = [self.file.ids.get(x + end) for x in letters]
@@ -90,9 +100,13 @@ class Encoder:
 
     def _encode_chunk(self, chunk: str) -> tuple[int, str, str]:
         """Number of ids, ids and symbols, each joined by blanks."""
-        ids: list[int] = []
-        for word in self.word.findall(chunk):
-            ids += self.words[word] if len(word) <= KEPT_CHARS else self._encode_word(word)
+        words = self.word.findall(chunk)
+        if len(words) == 1:  # kept as a chunk
+            ids = self._encode_word(words[0])
+        else:
+            ids = []
+            for word in words:
+                ids += self.words[word] if len(word) <= KEPT_CHARS else self._encode_word(word)
         return len(ids), " ".join(map(str, ids)), self.decode(ids)
 
     def normal(self, text: str) -> str:
@@ -122,14 +136,14 @@ class Encoder:
         return self.file.joiner.join([self.file.symbols[i] for i in ids])
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: dict[tuple, Encoder] = {}
 
 
-def encoder(content: bytes) -> Encoder:
+def encoder(content: bytes, kept: int = KEPT_BYTES) -> Encoder:
     """One per worker and vocabulary, with the tables that it has filled."""
-    key = hash(content)
+    key = hash(content), kept
     if key not in _encoders:
-        _encoders[key] = Encoder(content)
+        _encoders[key] = Encoder(content, kept)
     return _encoders[key]
 
 
@@ -151,6 +165,18 @@ def _outputs(one: Encoder, text: str | None, wanted: tuple[str, ...]) -> tuple:
     return tuple(make[name]() for name in wanted)
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of some MB of text (its last column), one row at least."""
+    at, size = 0, 0
+    for row, length in enumerate(pc.fill_null(pc.binary_length(batch.column(-1)), 0).to_pylist()):
+        if row > at and size + length > SLICE_BYTES:
+            yield batch.slice(at, row - at)
+            at, size = row, 0
+        size += length
+    if batch.num_rows:
+        yield batch.slice(at)
+
+
 def vocabulary(df: DataFrame, path: str) -> Broadcast:
     return df.sparkSession.sparkContext.broadcast(file_bytes(path))
 
@@ -160,23 +186,34 @@ def encode(
     path: str,
     outputs: Iterable[str] = ("ids",),
     text: str = "text",
+    keep: Iterable[str] | None = None,
+    kept_bytes: int = KEPT_BYTES,
 ) -> DataFrame:
     """Add what is asked for of ``OUTPUTS``; a column of such a name is replaced.
 
     A null text is an empty one: no ids, an empty decoded text. Rows stay as they
-    are, repeated ones too; an empty table gives an empty one.
+    are, repeated ones too, with all columns or those in ``keep``; an empty table gives
+    an empty one. A worker holds one Arrow batch of texts, and of strings, ids and
+    results those of a slice of it.
     """
     wanted, sent = tuple(outputs), vocabulary(df, path)
-
-    @F.pandas_udf(", ".join(f"{name} {OUTPUTS[name]}" for name in wanted))
-    def of_texts(texts: pd.Series) -> pd.DataFrame:
-        one = encoder(sent.value)
-        rows = [_outputs(one, x, wanted) for x in texts]
-        return pd.DataFrame(rows, columns=list(wanted))
-
-    return df.withColumn("encoded__", of_texts(F.col(text))).withColumns(
-        {name: F.col(f"encoded__.{name}") for name in wanted}
-    ).drop("encoded__")
+    kept = [name for name in (df.columns if keep is None else keep) if name not in wanted]
+    # Columns go by number meanwhile: names may be anything, also that of another one here.
+    columns = [F.col("`" + name.replace("`", "``") + "`").alias(f"c{i}") for i, name in enumerate(kept)]
+    rows = df.select(*columns, F.col(text).cast("string").alias("text"))
+    made = StructType.fromDDL(", ".join(f"{name} {OUTPUTS[name]}" for name in wanted))
+    kinds = [to_arrow_type(field.dataType) for field in made]
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = encoder(sent.value, kept_bytes)
+        for batch in batches:
+            for part in _slices(batch):
+                values = zip(*[_outputs(one, x, wanted) for x in part.column(-1).to_pylist()], strict=True)
+                added = [pa.array(list(x), kind) for x, kind in zip(values, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *added], names=[*batch.schema.names[:-1], *wanted])
+
+    found = rows.mapInArrow(of_batches, StructType([*rows.schema.fields[:-1], *made.fields]))
+    return found.toDF(*kept, *wanted)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", output: str = "decoded") -> DataFrame:

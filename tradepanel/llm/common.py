@@ -75,3 +75,31 @@ class Bounded(dict):
             self.clear()
         self[key] = value
         return value
+
+
+class BoundedBytes(dict):
+    """A table of computed values in about ``limit`` bytes, as ``weigh`` estimates them
+    from a key and its value.
+
+    Values that half the limit holds are the young ones; when there are more, they become
+    the old ones, and those that were old go. A value that is used again while it is old
+    is young again, so what is used often stays.
+    """
+
+    def __init__(self, compute: Callable, limit: int, weigh: Callable):
+        super().__init__()
+        self.compute, self.limit, self.weigh = compute, limit, weigh
+        self.old, self.held = {}, 0
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        size = self.weigh(key, value)
+        if self.held + size > self.limit / 2:
+            self.old = dict(self)
+            self.clear()
+            self.held = 0
+        self[key] = value
+        self.held += size
+        return value
