@@ -16,6 +16,9 @@ from tradepanel.sources.tables import stored
 
 #: Similarity of near-duplicates, in hundredths (query op2 has 85 from its contract).
 NEAR_PERCENT = 80
+#: Bytes of encoded words that a worker keeps: less than elsewhere, since workers that have
+#: run the stages before still hold memory for them.
+ENCODED_BYTES = 24 << 20
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -55,8 +58,10 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     id has that set; those without a word all stay.
     """
     found = near_dedup.near_duplicates(docs, percent=NEAR_PERCENT)
-    gone = stored(found.where("not kept and doc_id is not null").select("doc_id").distinct(), "near-copies")
-    left = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = found.where("not kept and doc_id is not null").select("doc_id", F.col("text_hash").alias("hash__"))
+    gone = stored(gone.distinct(), "near-copies")
+    left = docs.where("doc_id is not null").withColumn("hash__", F.xxhash64("text"))
+    left = left.join(gone, ["doc_id", "hash__"], "left_anti").select(docs.columns)
     ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("times__"))
     twice = stored(ids.where("times__ > 1").select("doc_id"), "repeated-ids")
     if not twice.isEmpty():
@@ -86,9 +91,11 @@ def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: ids of every text that is left, and digests of ids and decoded text."""
+    """Operator 3: ids of every text that is left, and digests of ids and decoded text.
+
+    A null text has no ids and the digests of an empty one; repeated rows stay."""
     outputs = ("n_tokens", "ids", "ids_sha256", "decoded_sha256")
-    return bpe.encode(docs, WORD_BPE, outputs).select("doc_id", *outputs)
+    return bpe.encode(docs, WORD_BPE, outputs, keep=("doc_id",), kept_bytes=ENCODED_BYTES)
 
 
 STAGES = [
