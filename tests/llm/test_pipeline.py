@@ -19,7 +19,7 @@ def test_stages(spark, sf_dir):
         if name == "near-duplicates":
             sets = [set(near_dedup.shingle_set(r.text).tolist()) for r in after.collect()]
             sets = [s for s in sets if s]
-            assert not any(100 * len(a & b) >= 85 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+            assert not any(100 * len(a & b) >= 80 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
         before = after
     assert after.count() > 0
 
@@ -73,3 +73,39 @@ def test_repeated_rows_and_rows_without_id(spark, sf_dir):
     found = sorted(((r.doc_id, r.text, r.lang) for r in after.collect()), key=repr)
     wanted = [(1, text, "de"), (None, other, "de"), (None, "", "en"), (None, None, "en"), (5, "c d e", "en"), (5, "f g h", "en")]
     assert found == sorted(wanted, key=repr)
+
+
+def of_texts(docs, spark, rows):
+    small = spark.createDataFrame(rows, "doc_id bigint, text string")
+    return docs.limit(0).unionByName(small, allowMissingColumns=True)
+
+
+def test_stages_on_no_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert corpus_pipeline.stored(stage(spark, docs, sf_dir), "empty").count() == 0, name
+
+
+def test_leaked_items_go_and_clean_documents_stay(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    items = [r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect() if len(r.text.split()) > 12]
+    rows = [(1, "before " + items[0].upper() + " after"), (2, "nothing of the kind"), (3, None), (4, ""), (5, " ".join(items[1].split()[:5]))]
+    after = corpus_pipeline.clean_documents(spark, of_texts(docs, spark, rows), sf_dir)
+    assert after.dtypes == docs.dtypes
+    assert sorted(r.doc_id for r in after.collect()) == [2, 3, 4, 5]
+
+
+def test_encoded_texts(spark, sf_dir):
+    import hashlib
+
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(corpus_pipeline.WORD_BPE)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(1, "A  text, isn't it?"), (1, "A  text, isn't it?"), (2, None), (3, "")]
+    found = corpus_pipeline.encoded_documents(spark, of_texts(docs, spark, rows), sf_dir).collect()
+    assert sorted(r.doc_id for r in found) == [1, 1, 2, 3]
+    for row in found:
+        ids = library.encode(dict(rows)[row.doc_id] or "", add_special_tokens=False).ids
+        assert (row.ids, row.n_tokens) == (ids, len(ids))
+        assert row.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
