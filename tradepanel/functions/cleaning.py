@@ -46,9 +46,15 @@ def amount_or_null(df: DataFrame, name: str) -> Column:
     def digits(c):
         return F.regexp_replace(c, r"[^0-9.\-]+", "")
 
-    scaled = F.concat(digits(F.regexp_replace(text, EXPONENT + ".*$", "")), F.regexp_extract(text, EXPONENT, 0))
+    def scaled(c):
+        whole = F.concat(digits(F.regexp_replace(c, EXPONENT + ".*$", "")), F.regexp_extract(c, EXPONENT, 0))
+        return finite(whole.try_cast("double"))
+
+    # Within a lambda, so that Spark leaves the projection out of the one method that it
+    # generates for a stage. The JVM never compiles one of over 8,000 bytes, which a few
+    # amounts exceed; all of the stage then takes several times as long.
     rare = F.contains(text, F.lit("E")) | F.contains(text, F.lit("e")) | (F.length(text) > SHORT_NUMBER)
-    return F.when(rare, finite(scaled.try_cast("double"))).otherwise(digits(text).try_cast("double"))
+    return F.when(rare, F.transform(F.array(text), scaled)[0]).otherwise(digits(text).try_cast("double"))
 
 
 def amount(df: DataFrame, name: str) -> Column:

@@ -11,6 +11,7 @@ from ..constants import HEADER_RULES, HeaderRule
 from ..functions import cleaning as C
 
 FALLBACK_NAMES = {"US$ FOB": "US_FOB", "PAIS DE DESTINO": "PAIS_DESTINO"}
+COMPUTED, ONCE = "computed__", "once__"
 SAMPLE_COLUMNS = (
     "YEAR", "MES", "PAIS_DESTINO_CLEAN", "PRODUCTO_CLEAN", "FOB_CLEAN",
     "EXPORT_SIZE_CATEGORY", "REGION_ORIGEN_CLEAN",
@@ -81,6 +82,17 @@ def positive(df: DataFrame, column: str = "FOB_CLEAN") -> DataFrame:
     return df.filter(C.named(column) > 0)
 
 
+def evaluated_once(df: DataFrame, value: Column) -> tuple[DataFrame, Column]:
+    """The rows with a further column ``ONCE`` of the value, and that column.
+
+    A filter by a computed column is pushed below it, and so computes it twice, with all
+    that it is made from. It is not pushed below a generator, here of one row.
+    """
+    names = df.columns
+    df = df.withColumn(COMPUTED, value)
+    return df.select(*[C.named(name) for name in names], F.explode(F.array(COMPUTED)).alias(ONCE)), F.col(ONCE)
+
+
 def coerce_numbers(df: DataFrame, *columns: str) -> DataFrame:
     """Text columns to numbers, bad text to null."""
     return df.withColumns({name: C.number_or_null(C.named(name)) for name in columns})
@@ -120,9 +132,11 @@ def clean_exports(df: DataFrame, keep_all: bool = False) -> DataFrame:
         first["REGION_ORIGEN_CLEAN"] = C.label(C.named("REGION DE ORIGEN"))
         # Folded once here; the 15 group words below then share it.
         first["REGION_GROUP"] = C.region_key(C.named("REGION DE ORIGEN"))
-    df = df.withColumns(first)
     if "FOB_CLEAN" in first and not keep_all:
-        df = positive(df)
+        df, first["FOB_CLEAN"] = evaluated_once(df, first["FOB_CLEAN"])
+        df = positive(df.withColumns(first).drop(ONCE))
+    else:
+        df = df.withColumns(first)
 
     fob = F.col("FOB_CLEAN")
     second: dict[str, Column] = {}
