@@ -3,13 +3,16 @@
 A record may span lines, so a task that starts in the middle of a file cannot tell by
 itself whether its first line continues one. It can count quotes, though:
 
-1. Every split of a file gives the parity of its quotes and the place of its last line
-   that starts a record, if it starts outside quotes or if it starts inside. That is one
-   short row a split.
-2. A running XOR over the splits of a file, in order, says how each one starts, and a
+1. Splits are cut into blocks of lines. Every block gives the parity of its quotes and the
+   place of its last line that starts a record, if it starts outside quotes or if it starts
+   inside. That is one short row a block.
+2. A running XOR over the blocks of a file, in order, says how each one starts, and a
    running maximum where the record began that it starts in.
-3. Within its split, every line then knows whether it starts a record. Only the lines of
+3. Within its block, every line then knows whether it starts a record. Only the lines of
    records that span several are brought together, by record.
+
+A task sorts the lines of blocks, not of splits, so its memory does not follow the size of
+a split, and splits whose hashes meet do not add up in one task.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 LATIN1 = "ISO-8859-1"
+#: A block has at most two to this power of lines.
+BLOCK_BITS = 14
 
 
 def byte_lines(spark: SparkSession, paths) -> DataFrame:
@@ -48,26 +53,27 @@ def odd_quotes(line: Column) -> Column:
 def marked_lines(lines: DataFrame) -> DataFrame:
     """Add ``opens``: where the record of a line starts, ``spans``: whether that record
     has several lines, and ``first``: whether it is the first line of its file."""
-    split = ["file", F.col("at.start")]
-    rows = lines.withColumn("odd", odd_quotes(F.col("value")))
-    before = Window.partitionBy(*split).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    block = ["file", "start", "block"]
+    rows = lines.withColumns({"odd": odd_quotes(F.col("value")), "start": F.col("at.start"), "block": F.shiftright("at.line", BLOCK_BITS)})
+    in_order = Window.partitionBy(*block).orderBy("at")
+    before, so_far = (in_order.rowsBetween(Window.unboundedPreceding, last) for last in (-1, Window.currentRow))
     rows = rows.withColumn("turned", F.coalesce(F.sum(F.col("odd").cast("int")).over(before) % 2, F.lit(0)))
-    # Of a split that starts outside quotes (0) and of one that starts inside (1).
-    last = [F.max(F.when(F.col("turned") == state, F.col("at"))).alias(f"last_{state}") for state in (0, 1)]
-    splits = rows.groupBy("file", F.col("at.start").alias("start")).agg(
-        (F.sum(F.col("odd").cast("int")) % 2).alias("parity"), *last
-    )
-    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("inside", F.coalesce(F.sum("parity").over(earlier) % 2, F.lit(0)))
+    # Of a block that starts outside quotes (0) and of one that starts inside (1).
+    starts = {state: F.when(F.col("turned") == state, F.col("at")) for state in (0, 1)}
+    blocks = rows.groupBy(*block).agg(
+        (F.sum(F.col("odd").cast("int")) % 2).alias("parity"), F.min("at").alias("lowest"),
+        *[F.max(at).alias(f"last_{state}") for state, at in starts.items()],
+    )
+    by_place = Window.partitionBy("file").orderBy("start", "block")
+    earlier = by_place.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("inside", F.coalesce(F.sum("parity").over(earlier) % 2, F.lit(0)))
     own_last = F.when(F.col("inside") == 0, F.col("last_0")).otherwise(F.col("last_1"))
-    splits = splits.withColumn("carried", F.max(own_last).over(earlier)).select("file", "start", "inside", "carried")
-    rows = rows.withColumn("start", F.col("at.start")).join(splits, ["file", "start"])
-    starts = F.col("turned") == F.col("inside")  # an even number of quotes so far in the file
-    so_far = Window.partitionBy("file", "start").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    opens = F.coalesce(F.max(F.when(starts, F.col("at"))).over(so_far), F.col("carried"))
-    closed = F.col("odd") == F.lit(False)
-    first = (F.col("start") == 0) & (F.min("at").over(so_far) == F.col("at"))
-    rows = rows.withColumns({"opens": opens, "spans": ~(starts & closed), "first": first})
+    head = F.when((F.row_number().over(by_place) == 1) & (F.col("start") == 0), F.col("lowest"))
+    blocks = blocks.withColumns({"carried": F.max(own_last).over(earlier), "head": head}).select(*block, "inside", "carried", "head")
+    rows = rows.withColumns({f"opens_{state}": F.max(at).over(so_far) for state, at in starts.items()}).join(blocks, block)
+    opens = F.coalesce(F.when(F.col("inside") == 0, F.col("opens_0")).otherwise(F.col("opens_1")), F.col("carried"))
+    whole = (F.col("turned") == F.col("inside")) & ~F.col("odd")  # an even number of quotes before and in the line
+    rows = rows.withColumns({"opens": opens, "spans": ~whole, "first": F.coalesce(F.col("head") == F.col("at"), F.lit(False))})
     return rows.select("file", "at", "opens", "spans", "first", "value")
 
 
