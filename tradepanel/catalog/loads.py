@@ -37,19 +37,29 @@ def broken(t):
 
 @query("s1_quoted_line_breaks", f"""SELECT "NUMERO DE ACEPTACION", CAST("ITEM" AS VARCHAR) AS "ITEM", {BROKEN} AS "PRODUCTO" FROM raw""")
 def s1_breaks(t):
-    """All lines in one file, which is read in splits."""
+    """All lines in one file, or as many as large ones as they need, read in splits."""
     folder = new_folder(t.spark, "breaks")
-    tables.write_csv(broken(t), folder, single_file=True)
+    tables.write_csv(broken(t).repartition(large_files(t)), folder)
     found = export_files.ingest(t.spark, folder, RUN_AT)
     return found.select(*[C.named(n) for n in ("NUMERO DE ACEPTACION", "ITEM", "PRODUCTO")])
 
 
-def write_lines(rows, folder, header):
-    """One CSV file of the lines of a text column as they are, below the header."""
-    lines = rows.select(F.explode(F.split("value", "\n")).alias(header))
+#: Lines of a landed file, about: some splits, and what one task writes in good time.
+FILE_LINES = 4_000_000
+
+
+def large_files(t):
+    """How many files the lines make."""
+    return max(1, -(-t.read("lineitem").count() // FILE_LINES))
+
+
+def write_lines(rows, folder, header, files=1):
+    """CSV files of the lines of a text column as they are, below the header. The rows are
+    made by many tasks; only a file is written by one."""
+    lines = rows.repartition(files).select(F.explode(F.split("value", "\n")).alias(header))
     bare = {"header": "true", "quote": "", "escapeQuotes": "false", "sep": "\u0001", "emptyValue": ""}
     bare |= {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    lines.coalesce(1).write.options(**bare).csv(folder)
+    lines.write.options(**bare).csv(folder)
 
 
 @query(
@@ -64,7 +74,7 @@ def s1_malformed(t):
     text = F.concat_ws(",", F.col("ITEM"), C.named("PAIS DE DESTINO"), F.lit("1.5"), F.when(F.col("ITEM") != 5, quoted))
     rows = lines.select(F.when(F.col("ITEM") == 3, F.concat(text, F.lit(",x"))).otherwise(text).alias("value"))
     folder = new_folder(t.spark, "malformed")
-    write_lines(rows, folder, 'ITEM,PAIS DE DESTINO,"US$ FOB",PRODUCTO')
+    write_lines(rows, folder, 'ITEM,PAIS DE DESTINO,"US$ FOB",PRODUCTO', large_files(t))
     raw = tables.stored(export_files.ingest(t.spark, folder, RUN_AT, malformed=True), "malformed")
     bad = export_files.malformed_rows(raw).agg(F.sum("surplus").alias("surplus"), F.sum("short").alias("short"))
     whole = raw.agg(F.count(F.when(F.col(export_files.MALFORMED).isNull(), 1)).alias("whole"))
