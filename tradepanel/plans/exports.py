@@ -134,7 +134,8 @@ def _load(spark, files: DataFrame, known: DataFrame, warehouse: str, load: str,
     names = raw.select(quality.known_destination().alias("name")).dropna().distinct()
     counts |= {"files": files.count(), "destinations": names.count()}
     write_table(malformed_rows(raw), own["malformed_records"])
-    clean = with_audit(clean_exports(raw.drop(MALFORMED)), run_at)
+    # Ranges are sampled first, so the clean rows are read twice; they are made once.
+    clean = stored(with_audit(clean_exports(raw.drop(MALFORMED)), run_at), "clean-rows")
     by = "YEAR" if "YEAR" in raw.columns else None
     # Questions are asked by year and destination.
     clean = clustered(clean, "PAIS_DESTINO_CLEAN", by)
