@@ -72,11 +72,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, source, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             if not (found := terms(text)):
                 continue
-            own = Counter(found)
             size -= len(counts[lang, source])
-            counts[lang, source].update(own)
+            counts[lang, source].update(found)  # counted in C, as a mapping is not
             size += len(counts[lang, source])
-            documents[lang, source].update(own.keys())
+            documents[lang, source].update(set(found))
             if size > HELD_TERMS:
                 yield from passed_on()
                 size = 0

@@ -52,17 +52,18 @@ def _lines(rows: DataFrame, min_words: int, equal_words: int) -> DataFrame:
             part = F.slice(words, size - length + 1, length) if last else F.slice(words, 1, length)
             return F.xxhash64(length, F.lit(last), part)
 
-        # for a common part of as many words as the line, and of one less
+        # For a common part of as many words as the line, and of one less. The first words of
+        # an odd line are as many for both, and so are the last words of an even one.
+        less = F.floor((size - 1) / 2).cast("int")
         halves = F.array(
             half(F.floor(size / 2).cast("int"), False),
-            half(F.floor((size - 1) / 2).cast("int"), False),
             half(F.ceil(size / 2).cast("int"), True),
-            half(F.ceil((size - 1) / 2).cast("int"), True),
+            F.when(size % 2 == 0, half(less, False)).otherwise(half(less, True)),
         )
         return F.struct(
             F.xxhash64(words).alias("h"),
             F.xxhash64(F.lit(1), words).alias("g"),
-            F.when(size >= min_words, F.array_distinct(halves)).alias("halves"),
+            F.when(size >= min_words, halves).alias("halves"),
             size.alias("size"),
         )
 
