@@ -93,3 +93,11 @@ def test_refused_files_have_reasons(spark, tmp_path):
         "open.csv": "unpaired quotes", "tall.csv": "no FOB column, no destination column, header spans lines",
     }
     assert {r["SOURCE_FILE"] for r in export_files.ingest(spark, str(tmp_path), AT).collect()} == set(files) - set(refused)
+
+
+def test_records_cross_the_blocks_of_a_split(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(csv_records, "BLOCK_BITS", 2)
+    rows = some_rows(300, 5) + [["300", "last", "over\n" * 40 + "end"], ["301", "after", "x"]]
+    (tmp_path / "a.csv").write_text(written(rows))
+    found = export_files.ingest(spark, str(tmp_path), AT)
+    assert sorted((r["US$ FOB"], r["PAIS DE DESTINO"], r["PRODUCTO"]) for r in found.collect()) == sorted(map(tuple, rows))
