@@ -33,8 +33,19 @@ MIN_WORDS = 8
 LINE = "line"
 
 
-def line_words(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+def plain_lines(text: Column) -> Column:
+    """The lines of a text in lower case, with one blank for white space of any length."""
+    return F.split(F.regexp_replace(F.lower(text), r"[\x20\x09\x0B-\x0D]+", " "), "\n")
+
+
+def said(line: Column) -> Column:
+    """The words of a plain line, joined by one blank. No word holds a blank, so texts are
+    equal where the words are."""
+    return F.trim(line)
+
+
+def _hashes(words: Column) -> tuple[Column, Column]:
+    return F.xxhash64(words), F.xxhash64(F.lit(1), words)
 
 
 #: A line's place. Texts of one doc_id are told apart by their hashes.
@@ -42,33 +53,34 @@ PLACE = ("doc_id", "line_no", "text_hash")
 
 
 def _lines(rows: DataFrame, min_words: int, equal_words: int) -> DataFrame:
-    """Lines that take part: place, hash of the words, hashes of halves (null in short lines)."""
-    lines = rows.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-
-    def facts(words: Column) -> Column:
-        size = F.size(words)
-
-        def half(length: Column, last: bool) -> Column:
-            part = F.slice(words, size - length + 1, length) if last else F.slice(words, 1, length)
-            return F.xxhash64(length, F.lit(last), part)
-
-        # For a common part of as many words as the line, and of one less. The first words of
-        # an odd line are as many for both, and so are the last words of an even one.
-        less = F.floor((size - 1) / 2).cast("int")
-        halves = F.array(
-            half(F.floor(size / 2).cast("int"), False),
-            half(F.ceil(size / 2).cast("int"), True),
-            F.when(size % 2 == 0, half(less, False)).otherwise(half(less, True)),
-        )
-        return F.struct(
-            F.xxhash64(words).alias("h"),
-            F.xxhash64(F.lit(1), words).alias("g"),
-            F.when(size >= min_words, halves).alias("halves"),
-            size.alias("size"),
-        )
+    """Lines that take part: place, hash of the words, hashes of halves (null in short lines).
 
-    found = lines.withColumn("f", let(line_words(F.col("line")), facts)).where(F.col("f.size") >= min(min_words, equal_words))
-    return found.select("doc_id", "line_no", "text_hash", "f.h", "f.g", "f.halves")
+    Words are counted and taken from the text of a line, without a list of them: a lambda
+    over such a list is not compiled, and a filter by what it gives computes it twice.
+    """
+    lines = rows.select("doc_id", "text_hash", F.posexplode(plain_lines(F.col("text"))).alias("line_no", "line"))
+    words = F.col("words")
+    blanks = F.octet_length(words) - F.octet_length(F.replace(words, F.lit(" "), F.lit("")))
+    lines = lines.select(*PLACE, said(F.col("line")).alias("words")).where("words != ''")
+    lines = lines.withColumn("size", (blanks + 1).cast("int"))
+    if min(min_words, equal_words) > 1:
+        lines = lines.where(F.col("size") >= min(min_words, equal_words))
+    size = F.col("size")
+
+    def half(length: Column, last: bool) -> Column:
+        part = F.call_function("substring_index", words, F.lit(" "), -length if last else length)
+        return F.xxhash64(length, F.lit(last), part)
+
+    # For a common part of as many words as the line, and of one less. The first words of
+    # an odd line are as many for both, and so are the last words of an even one.
+    less = F.floor((size - 1) / 2).cast("int")
+    halves = F.array(
+        half(F.floor(size / 2).cast("int"), False),
+        half(F.ceil(size / 2).cast("int"), True),
+        F.when(size % 2 == 0, half(less, False)).otherwise(half(less, True)),
+    )
+    h, g = _hashes(words)
+    return lines.select(*PLACE, h.alias("h"), g.alias("g"), F.when(size >= min_words, halves).alias("halves"))
 
 
 def _variants(words: Column) -> Column:
@@ -95,15 +107,16 @@ def _near_lines(firsts: DataFrame, rows: DataFrame) -> DataFrame:
     """(first, keeper): first lines with an earlier near one, and the earliest of those."""
     wanted = stored(firsts.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("line_no", "h", "g")).alias("own")), "near-docs")
 
-    def own_lines(said: Column) -> Column:
+    def own_lines(lines: Column) -> Column:
         return F.transform(
-            "own", lambda o: F.struct(o.line_no.alias("line_no"), o.h.alias("h"), o.g.alias("g"), F.get(said, o.line_no).alias("line"))
+            "own", lambda o: F.struct(o.line_no.alias("line_no"), o.h.alias("h"), o.g.alias("g"), F.get(lines, o.line_no).alias("line"))
         )
 
     found = marked_present(rows, "doc_id", wanted.select("doc_id")).where("maybe__").drop("maybe__").join(wanted, ["doc_id", "text_hash"])
-    found = found.select("doc_id", "text_hash", F.explode(let(F.split("text", "\n"), own_lines)).alias("l"))
-    found = found.select(*["doc_id", "l.line_no", "text_hash"], "l.h", "l.g", line_words(F.col("l.line")).alias("words"))
-    texts = found.where((F.xxhash64("words") == F.col("h")) & (F.xxhash64(F.lit(1), F.col("words")) == F.col("g")))
+    found = found.select("doc_id", "text_hash", F.explode(let(plain_lines(F.col("text")), own_lines)).alias("l"))
+    found = found.select("doc_id", "l.line_no", "text_hash", "l.h", "l.g", said(F.col("l.line")).alias("words"))
+    h, g = _hashes(F.col("words"))
+    texts = found.where((h == F.col("h")) & (g == F.col("g"))).withColumn("words", F.split("words", " "))
     texts = stored(texts.select(*PLACE, "words").dropDuplicates(PLACE), "near-lines")
     keys = texts.select(*PLACE, F.inline(_variants(F.col("words"))))
     bounds = [least(name).alias(f"{kind}_{name}") for name in PLACE for kind, least in (("low", F.min), ("high", F.max))]
