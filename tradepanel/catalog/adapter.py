@@ -11,8 +11,10 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ..operators import features, learning, marts
+from ..functions import cleaning as C
+from ..operators import features, learning, marts, rollup
 from ..operators.exports import clean_exports
 from ..operators.panel import build_panel
 from ..sources.tables import stored
@@ -98,6 +100,14 @@ RAW = {
 }
 ALL_COLUMNS = tuple(RAW)
 NATION = "nation key"
+# True for one of the rows that a line gives where a part or supplier key repeats.
+FIRST, COPY = "first row of a line", "copy__"
+
+
+def with_copy_number(df: DataFrame, key: str) -> DataFrame:
+    """Rows that have the key, numbered from 1 within it; others meet no line."""
+    number = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    return df.filter(F.col(key).isNotNull()).withColumn(f"{COPY}{key}", number)
 
 _trained: dict = {}
 
@@ -125,26 +135,44 @@ class Tables:
             lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
         if "part" in needed:
             part = self.read("part")
+            if FIRST in columns:
+                part = with_copy_number(part, "p_partkey")
             lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
         if "supplier" in needed:
             supplier = self.read("supplier")
+            if FIRST in columns:
+                supplier = with_copy_number(supplier, "s_suppkey")
             lines = lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
         chosen = {name: RAW[name][1]() for name in columns if name in RAW}
         if NATION in columns:
             chosen[NATION] = F.col("c_nationkey")
+        if FIRST in columns:
+            numbers = [F.coalesce(F.col(name), F.lit(1)) for name in lines.columns if name.startswith(COPY)]
+            chosen[FIRST] = F.greatest(F.lit(1), F.lit(1), *numbers) == 1
         return lines.select(*[chosen[name].alias(name) for name in columns])
 
     def clean(self, *columns: str, keep_all: bool = False) -> DataFrame:
         """Clean export lines from the named raw columns; all if none are named."""
         return clean_exports(self.raw(*columns), keep_all)
 
-    def gdp(self) -> DataFrame:
-        """Flat GDP records: positive FOB per destination and year, scaled."""
-        sums = (
-            self.clean(NATION, "YEAR", "US$ FOB")
-            .groupBy(F.col(NATION), F.col("YEAR").alias("year"))
-            .agg(F.sum(F.col("FOB_CLEAN").cast("decimal(28,2)")).cast("double").alias("fob"))
-        )
+    def spellings(self) -> DataFrame:
+        """Positive lines summed up by year, nation and the spellings of their labels, and
+        written once: for the panel and the yearly features, which clean each spelling
+        instead of each line. ``once`` are the sums without the further rows of a line
+        whose part or supplier key repeats, which the panel does not join."""
+        keys = (NATION, "YEAR", "PAIS DE DESTINO", "PRODUCTO", "REGION DE ORIGEN")
+        lines, fob = self.clean("US$ FOB", FIRST, *keys), F.col("FOB_CLEAN")
+        sums = {"fob": (fob, 2), "once": (F.when(C.named(FIRST), fob), 2)}
+        return rollup.pre_aggregate(lines, [C.named(name) for name in keys], **sums)
+
+    def gdp(self, spellings: DataFrame | None = None) -> DataFrame:
+        """Flat GDP records: positive FOB per destination and year, scaled; from the lines,
+        or from what they were summed up to."""
+        if spellings is None:
+            lines, fob = self.clean(NATION, "YEAR", "US$ FOB"), F.sum(F.col("FOB_CLEAN").cast("decimal(28,2)")).cast("double")
+        else:
+            lines, fob = spellings, rollup.total("once")
+        sums = lines.groupBy(F.col(NATION), F.col("YEAR").alias("year")).agg(fob.alias("fob"))
         scale = F.element_at(
             F.array(*[F.lit(s) for s in (10.0, 100.0, 1000.0, 10000.0)]), F.col(NATION) % 4 + 1
         )
@@ -227,7 +255,11 @@ class Tables:
         )
 
     def short_features(self) -> DataFrame:
-        return features.short_features(self.panel(), self.yearly_lines())
+        """Both sides from the lines summed up by spelling: they are read, joined and
+        cleaned once."""
+        spellings = self.spellings()
+        cleaned = clean_exports(spellings)
+        return features.short_features(build_panel(self.gdp(spellings)), cleaned, cleaned)
 
     def trained(self) -> learning.Trained:
         """The boosted model with its usual settings, trained once per session for

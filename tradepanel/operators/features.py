@@ -162,10 +162,10 @@ def join_yearly_averages(panel: DataFrame, averages: DataFrame) -> DataFrame:
     )
 
 
-def short_features(panel: DataFrame, exports: DataFrame, **years: int) -> DataFrame:
+def short_features(panel: DataFrame, exports: DataFrame, pre: DataFrame | None = None, **years: int) -> DataFrame:
     """22 features of the larger economies, the target and the keys; ``first_year``
-    and ``last_year`` as in ``ml_rows``."""
-    base = join_yearly_exports(major_economies(ml_rows(panel, **years)), marts.yearly_features(exports))
+    and ``last_year`` as in ``ml_rows``, ``pre`` as in ``marts.yearly_features``."""
+    base = join_yearly_exports(major_economies(ml_rows(panel, **years)), marts.yearly_features(exports, pre))
     growth, ranking, gdp_bn = F.col("gdp_growth_rate"), F.col("ranking"), F.col(TARGET)
     wide = base.withColumns(
         {
