@@ -135,12 +135,22 @@ def _signatures(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([_signature(x) for x in texts], columns=["n", "set_key", "bands", "sketch"])
 
 
+def _once(function, kind: str):
+    """A vectorised function that a plan runs once a row.
+
+    A join by one of its fields adds a filter of nulls, which Spark moves below the function:
+    it then runs a second time, in a second Python worker beside the first in every task. What
+    is declared as not deterministic stays where it is; equal texts give equal values all the same.
+    """
+    return F.pandas_udf(function, kind).asNondeterministic()
+
+
 def signature(text: Column) -> Column:
-    return F.pandas_udf(_signatures, SIGNATURE)(text)
+    return _once(_signatures, SIGNATURE)(text)
 
 
 def shingle_sets(text: Column) -> Column:
-    return F.pandas_udf(_sets, "set_key binary, shingles array<bigint>, parity array<bigint>")(text)
+    return _once(_sets, "set_key binary, shingles array<bigint>, parity array<bigint>")(text)
 
 
 def _sets(texts: pd.Series) -> pd.DataFrame:
@@ -303,6 +313,13 @@ def near_duplicates(
     )
 
 
+def _sets_of_nodes(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, shingles, parity) from texts (doc_id, text), one row per node."""
+    sets = rows.select("doc_id", shingle_sets(F.col("text")).alias("s")).select("doc_id", "s.*")
+    sets = sets.join(wanted.select("node", "doc_id", "set_key"), ["doc_id", "set_key"]).dropDuplicates(["set_key"])
+    return sets.select("node", "shingles", "parity")
+
+
 def _components(docs, doc_id: str, text: str, first: DataFrame, shared: DataFrame, percent: int) -> DataFrame | None:
     """(node, component) of the linked nodes, or none."""
     if shared.isEmpty():
@@ -314,9 +331,7 @@ def _components(docs, doc_id: str, text: str, first: DataFrame, shared: DataFram
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     rows = marked_present(rows, "doc_id", wanted.select("doc_id")).where("maybe__").select("doc_id", "text")
     rows = stored(rows.join(wanted.select("doc_id"), "doc_id", "left_semi"), "candidate-texts")
-    sets = rows.select("doc_id", shingle_sets(F.col("text")).alias("s")).select("doc_id", "s.*")
-    sets = sets.join(wanted.select("node", "doc_id", "set_key"), ["doc_id", "set_key"]).dropDuplicates(["set_key"])
-    sets = stored(sets.select("node", "shingles", "parity"), "sets")
+    sets = stored(_sets_of_nodes(rows, wanted), "sets")
     bitmaps = wanted.select("node", "n", "sketch").join(sets.select("node", "parity"), "node")
     search = _Search(shared, stored(bitmaps, "bitmaps"), sets.select("node", "shingles"), percent)
     search.confirm(search.hub_pairs(shared.withColumn("label", F.col("node"))))
