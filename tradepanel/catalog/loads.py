@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import cleaning as C
 from ..operators.exports import filter_in
 from ..plans import exports as job
-from ..session import new_folder
+from ..session import new_folder, scratch
 from ..sources import export_files, tables
 from ..streaming import loads
 from .adapter import RUN_AT
@@ -110,19 +110,24 @@ _warehouses: dict = {}
 def two_runs(t) -> str:
     """A warehouse after two runs of the job: lines to 2020 first; then the same files
     are still there, with a copy of one of them, the later lines, and files without FOB.
-    Made once per session, as several queries read what the job leaves."""
+    Made once per session, as several queries read what the job leaves; the landed files
+    are removed then."""
     key = (t.spark.sparkContext.applicationId, t.sf_dir)
     if key not in _warehouses:
-        folder, warehouse = new_folder(t.spark, "landing"), new_folder(t.spark, "warehouse")
-        lines = t.raw(*COLUMNS)
-        tables.write_csv(lines.where("YEAR <= 2020"), f"{folder}/early")
-        job.run(t.spark, folder, warehouse, RUN_AT)
-        header = ",".join(COLUMNS)
-        copied = t.spark.read.text(f"{folder}/early/part-00000-*.csv").where(F.col("value") != header)
-        write_lines(copied, f"{folder}/copy", header)
-        tables.write_csv(lines.where("YEAR > 2020").select(*[C.named(c) for c in reversed(COLUMNS)]), f"{folder}/late")
-        tables.write_csv(lines.where("YEAR > 2020").drop("US$ FOB"), f"{folder}/without_fob")
-        job.run(t.spark, folder, warehouse, LATER)
+        warehouse = new_folder(t.spark, "warehouse")
+        with scratch(t.spark):
+            folder = new_folder(t.spark, "landing")
+            with scratch(t.spark):
+                # Three folders are written of the lines, which are joined once.
+                lines = tables.stored(t.raw(*COLUMNS), "lines")
+                tables.write_csv(lines.where("YEAR <= 2020"), f"{folder}/early")
+                job.run(t.spark, folder, warehouse, RUN_AT)
+                header = ",".join(COLUMNS)
+                copied = t.spark.read.text(f"{folder}/early/part-00000-*.csv").where(F.col("value") != header)
+                write_lines(copied, f"{folder}/copy", header)
+                tables.write_csv(lines.where("YEAR > 2020").select(*[C.named(c) for c in reversed(COLUMNS)]), f"{folder}/late")
+                tables.write_csv(lines.where("YEAR > 2020").drop("US$ FOB"), f"{folder}/without_fob")
+            job.run(t.spark, folder, warehouse, LATER)
         _warehouses[key] = warehouse
     return _warehouses[key]
 

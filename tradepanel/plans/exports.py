@@ -7,12 +7,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import cleaning as C
 from ..operators import marts, quality
-from ..operators.exports import clean_exports, with_audit
+from ..operators.exports import clean_exports, with_audit, with_date_numbers
 from ..operators.totals import total
+from ..session import scratch
 from ..sources import folders, manifest
 from ..sources.export_files import MALFORMED, landed_files, malformed_rows, read_files
-from ..sources.tables import clustered, observed_write, read_table, replace_partitions, stored, write_table
+from ..sources.tables import dealt_out, observed_write, read_table, replace_partitions, stored, write_table
 
 # The marts, and the columns that a table must have for each. Every mart has a YEAR, so
 # that a load changes only the years of its rows. The last two share a pre-aggregate.
@@ -55,6 +57,11 @@ def build_marts(exports: DataFrame, warehouse: str, years: list | None = None) -
     With ``years`` only these are computed and replaced; a year without rows any more
     goes from the mart.
     """
+    with scratch(exports.sparkSession):
+        return _build_marts(exports, warehouse, years)
+
+
+def _build_marts(exports: DataFrame, warehouse: str, years: list | None) -> dict[str, bool]:
     spark = exports.sparkSession
     lines = exports if years is None else in_years(exports, years)
     possible = {name: columns <= set(exports.columns) for name, (_, columns) in MARTS.items()}
@@ -109,8 +116,15 @@ def load_files(spark: SparkSession, fresh: DataFrame, warehouse: str, load: str,
     load of their own, and only the marts of their years are computed anew. A file that
     comes again with other content takes the place of its earlier rows. What the write of
     the rows has counted makes up checks and statistics. The manifest comes last: a load
-    that fails before it can be repeated, and a repeated load gives the same tables.
+    that fails before it can be repeated, and a repeated load gives the same tables. What
+    the steps leave for each other goes with them.
     """
+    with scratch(spark):
+        _load_files(spark, fresh, warehouse, load, run_at)
+    return read_table(spark, f"{warehouse}/export_checks")
+
+
+def _load_files(spark: SparkSession, fresh: DataFrame, warehouse: str, load: str, run_at: datetime) -> None:
     earlier = stored(manifest.read_manifest(spark, f"{warehouse}/manifest").where(F.col("LOAD") != load), "manifest")
     changes = manifest.inspect_changes(spark, fresh, earlier, load)
     files = changes.where(F.col("status") == manifest.LOADED)
@@ -121,7 +135,18 @@ def load_files(spark: SparkSession, fresh: DataFrame, warehouse: str, load: str,
     statistics = spark.createDataFrame([{"LOAD": load} | counts], STATISTICS)
     manifest.write_load(statistics, f"{warehouse}/load_statistics", load)
     write_table(quality.as_export_checks(statistics), f"{warehouse}/export_checks")
-    return read_table(spark, f"{warehouse}/export_checks")
+
+
+def clustered_clean(raw: DataFrame, by: str | None) -> DataFrame:
+    """The clean lines, ``clustered`` as questions are asked: by destination in each year.
+
+    The raw lines are dealt out, by what these keys will be, and cleaned where they arrive.
+    They are narrower than clean ones, which no step then has to store or send.
+    """
+    lines = with_date_numbers(raw)
+    year = [C.named(by)] if by is not None else []
+    lines = dealt_out(lines, *year, C.destination_name(C.named("PAIS DE DESTINO")))
+    return clean_exports(lines).sortWithinPartitions(*year, "PAIS_DESTINO_CLEAN")
 
 
 def _load(spark, files: DataFrame, known: DataFrame, warehouse: str, load: str, run_at: datetime) -> dict:
@@ -134,11 +159,8 @@ def _load(spark, files: DataFrame, known: DataFrame, warehouse: str, load: str,
     names = raw.select(quality.known_destination().alias("name")).dropna().distinct()
     counts |= {"files": files.count(), "destinations": names.count()}
     write_table(malformed_rows(raw), own["malformed_records"])
-    # Ranges are sampled first, so the clean rows are read twice; they are made once.
-    clean = stored(with_audit(clean_exports(raw.drop(MALFORMED)), run_at), "clean-rows")
     by = "YEAR" if "YEAR" in raw.columns else None
-    # Questions are asked by year and destination.
-    clean = clustered(clean, "PAIS_DESTINO_CLEAN", by)
+    clean = with_audit(clustered_clean(raw.drop(MALFORMED), by), run_at)
     measures = {"clean_records": F.count(F.lit(1)), "total_fob_usd": total(F.col("FOB_CLEAN"))}
     counts |= observed_write(clean, own["exports"], by=by, even=False, **measures)
     if by:

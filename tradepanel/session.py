@@ -4,10 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+from .sources import folders
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Whether the shuffle files of a query go when it ends. By itself Spark drops them when the
+#: driver's garbage collection meets their plan, which may not be before the session ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "tradepanel") -> SparkSession:
@@ -53,4 +60,30 @@ def workspace(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path in the workspace; nothing is ever overwritten by accident."""
-    return f"{workspace(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = f"{workspace(spark)}/{name}-{uuid.uuid4().hex}"
+    if (named := _scratch.get()) is not None:
+        named.append(folder)
+    return folder
+
+
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """For the steps of a job that leave nothing in the workspace: the folders that
+    ``new_folder`` names within it are removed in the end, and the shuffle files of each
+    query when it ends. What is read later must be written elsewhere."""
+    before, named = spark.conf.get(SHUFFLE_CLEANUP, None), []
+    token = _scratch.set(named)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+        for folder in named:
+            folders.remove(spark, folder)

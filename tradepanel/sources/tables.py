@@ -23,7 +23,13 @@ def clustered(df: DataFrame, column: str, by: str | None = None) -> DataFrame:
     the rows is spread over several of them.
     """
     keys = [C.named(name) for name in (by, column) if name is not None]
-    return df.repartitionByRange(*keys, F.xxhash64(*[C.named(name) for name in df.columns])).sortWithinPartitions(*keys)
+    return dealt_out(df, *keys).sortWithinPartitions(*keys)
+
+
+def dealt_out(df: DataFrame, *keys: Column) -> DataFrame:
+    """Rows by ranges of the keys and of a hash of the row. All rows are read twice for it,
+    as the ranges are sampled first."""
+    return df.repartitionByRange(*keys, F.xxhash64(*[C.named(name) for name in df.columns]))
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", by: str | None = None, even: bool = True) -> str:
